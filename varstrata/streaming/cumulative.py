@@ -1,0 +1,94 @@
+"""Running statistics over the windows of a stream, in keyed state."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from varstrata.functions.columns import col, resolve, variation
+
+STATE = "n long, mean double, m2 double, low double, high double"
+
+
+class RunningMoments(StatefulProcessor):
+    """Merges each closed window of a stratum into the moments of all windows before it."""
+
+    def __init__(self, columns: Sequence[str], ttl_ms: int | None):
+        self.columns = list(columns)
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.moments = handle.getValueState("moments", STATE, self.ttl_ms)
+
+    def handleInputRows(
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        # one row per closed window, not per event
+        windows = pd.concat(list(rows)).sort_values("window_start")
+        n, mean, m2, low, high = self.moments.get() if self.moments.exists() else (0, 0.0, 0.0, None, None)
+        out = []
+        for w in windows.itertuples(index=False):
+            total = n + int(w.n)
+            step = w.mean - mean if n else 0.0
+            m2 += w.n * w.sd * w.sd + step * step * n * w.n / total
+            mean = mean + step * w.n / total if n else w.mean
+            low = w.low if low is None else min(low, w.low)
+            high = w.high if high is None else max(high, w.high)
+            n = total
+            sd = 0.0 if low == high else (m2 / n) ** 0.5
+            out.append((*key, w.window_start, w.window_end, n, float(mean), float(sd)))
+        self.moments.update((n, float(mean), float(m2), float(low), float(high)))
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_cumulative_stats(
+    windowed: DataFrame,
+    keys: str | Sequence[str],
+    *,
+    weight: float = 1.0,
+    degenerate: str = "zero",
+    abs_mean: bool = False,
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Streaming form of ``cumulative_stats``: each closed window's row covers all windows so far.
+
+    The windowed aggregate before it has reduced the stream to one row per window and stratum, so
+    the Python processor sees no events and a hot stratum costs it nothing. Needs append mode and
+    the RocksDB state store. ``ttl_ms`` forgets strata that were silent for that long.
+    """
+    key_names = resolve(windowed.columns, keys)
+    # plain names: the Python side replaces column names that are not identifiers
+    plain = [f"k{i}" for i in range(len(key_names))]
+    flat = windowed.select(
+        *[col(k).alias(p) for k, p in zip(key_names, plain, strict=True)],
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        "n", "mean", "sd", "low", "high",
+    )
+    out = T.StructType(
+        [
+            *[T.StructField(p, windowed.schema[k].dataType) for k, p in zip(key_names, plain, strict=True)],
+            T.StructField("window_start", T.TimestampType()),
+            T.StructField("window_end", T.TimestampType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("mean", T.DoubleType()),
+            T.StructField("sd", T.DoubleType()),
+        ]
+    )
+    running = (
+        flat.groupBy(*plain)
+        .transformWithStateInPandas(RunningMoments(out.names, ttl_ms), out, "Append", "None")
+        .toDF(*key_names, *out.names[len(plain) :])
+    )
+    return running.withColumn(
+        "gamma", variation(F.col("mean"), F.col("sd"), weight=weight, degenerate=degenerate, abs_mean=abs_mean)
+    )
