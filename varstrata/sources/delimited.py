@@ -26,17 +26,18 @@ def read_delimited(
 
     A doubled quote inside a quoted field is one quote; a record ends at its line's end.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in as_names(columns)])
-    return (
+    names = as_names(columns)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    rows = (
         spark.read.schema(schema)
         .option("header", header)
         # names come from the caller, not from the file
         .option("enforceSchema", True)
         .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", None)
         .csv(path)
     )
+    # empty and missing fields are empty text, which is an ordinary key
+    return rows.select(*[F.coalesce(col(c), F.lit("")).alias(c) for c in names])
 
 
 def read_lines(spark: SparkSession, path: str, *, header: bool = True) -> DataFrame:

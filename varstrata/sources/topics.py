@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Default addresses and names that existing topics and consumers go by.
 ADDRESS = "localhost:9092"
 GROUP = "KafkaCsvProducer"
 INPUT_TOPIC = "input-topic-job1"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from varstrata.functions.columns import col, resolve, variation
 
+# the processor travels with the job, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE = "n long, mean double, m2 double, low double, high double"
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,9 @@ from varstrata.functions.columns import as_names, col, resolve
 from varstrata.operators.allocate import BROADCAST_BYTES, rows_with_allocation
 from varstrata.operators.sample import sample_allocated
 
+# the processor travels with the job, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class Reservoir(StatefulProcessor):
     """Keeps the ``s`` lowest ranks of a part of a stratum and gives out each row it admits.
