@@ -91,21 +91,33 @@ def payload_text(names: Sequence[str]) -> Column:
     return F.concat_ws(",", *[F.coalesce(col(c).cast("string"), F.lit("")) for c in names])
 
 
+CONTROLS_AND_BLANK = "".join(chr(c) for c in range(0x21))
+FIELD_BREAK = "\uffff"  # a code point that is never a character
+
+
 def strip_controls(text: Column) -> Column:
     """Remove every leading and trailing character up to U+0020, not only blanks."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(text, F.lit(CONTROLS_AND_BLANK))
 
 
 def split_quoted(line: Column) -> Column:
     """Split a line at commas outside double quotes, then delete all double quotes.
 
-    Trailing empty fields are kept.
+    A comma is outside if an even number of quotes follows it. Trailing empty fields are kept. The
+    line is cut at its quotes, so that its length counts once however many fields it has.
     """
-    outside_quotes = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    return F.transform(
-        F.split(strip_controls(line), outside_quotes, -1),
-        lambda field: F.replace(field, F.lit('"'), F.lit("")),
-    )
+    pieces = F.split(strip_controls(line), '"', -1)
+
+    def unquoted(parts: Column) -> Column:
+        last = F.size(parts) - 1
+        marked = F.transform(
+            parts,
+            lambda part, i: F.when((last - i) % 2 == 0, F.translate(part, ",", FIELD_BREAK)).otherwise(part),
+        )
+        return F.split(F.array_join(marked, ""), FIELD_BREAK, -1)
+
+    # inside the lambda the pieces are a variable, not an expression repeated for every piece
+    return F.transform(F.array(pieces), unquoted)[0]
 
 
 def lenient_double(text: Column) -> Column:

@@ -183,5 +183,6 @@ ORACLE: dict[str, str] = {
     "stream_rows_with_allocation": f"{quotas(*EVENTS, 50)} select event_id, event_type, n, s"
     " from events join alloc using (event_type)",
     "stream_reservoir": sample(*EVENTS, 50, "event_id", "event_id, event_type, value, s"),
+    "stream_reservoir_table": sample(*EVENTS, 50, "event_id", "event_id, event_type, value, s"),
     "stream_word_count": WORDS,
 }

@@ -22,7 +22,7 @@ from varstrata.operators.words import word_count
 from varstrata.plans.runtime import scratch_path
 from varstrata.sources import delimited, nested, records
 from varstrata.streaming.cumulative import stream_cumulative_stats
-from varstrata.streaming.reservoir import admitted_rows, reservoir_sample
+from varstrata.streaming.reservoir import admitted_rows, reservoir_sample, reservoir_to
 from varstrata.streaming.runner import append_to, file_stream, with_event_time
 from varstrata.streaming.windows import totals_to, window_gamma
 from varstrata.streaming.words import counts_to, latest_counts
@@ -405,6 +405,14 @@ def stream_reservoir(spark, sf_dir):
     return sample.select("event_id", "event_type", "value", "s")
 
 
+@query
+def stream_reservoir_table(spark, sf_dir):
+    alloc = allocation(table(spark, sf_dir, "events"), "event_type", "value", 50)
+    events = stream(spark, sf_dir, "events")
+    sample = reservoir_to(events, alloc, "event_type", id="event_id", with_quota=True, **sink(spark))
+    return sample.select("event_id", "event_type", "value", "s")
+
+
 @query
 def stream_word_count(spark, sf_dir):
     return latest_counts(counts_to(stream(spark, sf_dir, "documents"), **sink(spark)))

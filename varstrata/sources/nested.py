@@ -31,18 +31,27 @@ def flatten_measurements(documents: DataFrame) -> DataFrame:
 
     ``local`` is null, as documents hold only the UTC time.
     """
-    place = documents.select(F.explode("results").alias("place"))
-    reading = place.select("place", F.explode("place.measurements").alias("reading"))
+    # A bare column would make the planner add a filter on its size, and so parse each text twice.
+    results = F.coalesce(F.col("results"), F.array())
+    place = documents.select(F.inline(results))
+    reading = place.select(
+        "location",
+        "city",
+        "country",
+        F.col("coordinates.latitude").alias("latitude"),
+        F.col("coordinates.longitude").alias("longitude"),
+        F.inline("measurements"),
+    )
     return reading.select(
-        F.col("place.location").alias("location"),
-        F.col("place.city").alias("city"),
-        F.col("place.country").alias("country"),
-        F.col("reading.lastUpdated").alias("utc"),
+        "location",
+        "city",
+        "country",
+        F.col("lastUpdated").alias("utc"),
         F.lit(None).cast("string").alias("local"),
-        F.col("reading.parameter").alias("parameter"),
-        F.col("reading.value").alias("value"),
-        F.col("reading.unit").alias("unit"),
-        F.col("place.coordinates.latitude").alias("latitude"),
-        F.col("place.coordinates.longitude").alias("longitude"),
-        F.col("reading.sourceName").alias("attribution"),
+        "parameter",
+        "value",
+        "unit",
+        "latitude",
+        "longitude",
+        F.col("sourceName").alias("attribution"),
     )

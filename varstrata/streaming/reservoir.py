@@ -1,4 +1,10 @@
-"""Reservoirs over a stream: the rows of lowest random rank in every stratum so far."""
+"""Reservoirs over a stream: the rows of lowest random rank in every stratum so far.
+
+Two forms with the same result. :func:`reservoir_to` merges each micro-batch into a table with the
+batch operators; it stays in the JVM, trims rows before it shuffles them, and suits large volumes.
+:func:`admitted_rows` keeps ranks in keyed state and gives out rows as they are admitted; it suits
+consumers that want each row at once.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +21,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from varstrata.functions import ranks
 from varstrata.functions.columns import as_names, col, resolve
-from varstrata.operators.allocate import BROADCAST_BYTES, rows_with_allocation
-from varstrata.operators.sample import sample_allocated
+from varstrata.operators.allocate import (
+    BROADCAST_BYTES,
+    measure_bounds,
+    rows_with_allocation,
+    stratum_key,
+)
+from varstrata.operators.lowest import ROWS_PER_TASK, keep_lowest
+from varstrata.operators.sample import GROUP, QUOTA, RANK, sample_allocated
+from varstrata.streaming.runner import run_batches
 
 # the processor travels with the job, so executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -120,3 +133,77 @@ def reservoir_sample(
     At the end of the stream this is the batch sample with the same seed.
     """
     return sample_allocated(admitted, alloc, keys, id=id, seed=seed, hash=hash, with_quota=with_quota)
+
+
+def reservoir_to(
+    stream: DataFrame,
+    alloc: DataFrame,
+    keys: str | Sequence[str],
+    path: str,
+    checkpoint: str,
+    *,
+    id: str | Sequence[str],
+    seed: int = 42,
+    hash: str = "md5",
+    with_quota: bool = False,
+    partitions: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Process what is there into reservoirs in a table at ``path``; return the reservoirs' rows.
+
+    A full reservoir's highest rank is a cut-off: rows above it are dropped as they are read. The
+    table has two slots, written in turn, so that a repeated micro-batch finds its predecessor whole.
+    """
+    spark = stream.sparkSession
+    key_names = resolve(stream.columns, keys)
+    ids = resolve(stream.columns, as_names(id))
+    wanted = alloc.filter(F.col("s") > 0)
+    bounds = measure_bounds(wanted, resolve(alloc.columns, key_names))
+    small = bounds.all_bytes() <= broadcast_bytes
+    order = [F.col(RANK), *[col(i) for i in ids]]
+    rank_type = T.StringType() if hash == "md5" else T.LongType()
+    schema = T.StructType(
+        [
+            *stream.schema.fields,
+            T.StructField(GROUP, stream.select(stratum_key(key_names).alias(GROUP)).schema[GROUP].dataType),
+            T.StructField(QUOTA, T.LongType()),
+            T.StructField(RANK, rank_type),
+            T.StructField("__batch", T.LongType()),
+        ]
+    )
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        rows = (
+            rows_with_allocation(batch, wanted, key_names, columns=("s",), broadcast_bytes=broadcast_bytes)
+            .withColumnRenamed("s", QUOTA)
+            .withColumn(GROUP, stratum_key(key_names))
+            .withColumn(RANK, ranks.rank(ids, seed, hash))
+        )
+        if batch_id > 0:
+            held = batch.sparkSession.read.schema(schema).parquet(f"{path}/slot={(batch_id - 1) % 2}").drop("__batch")
+            full = (
+                held.groupBy(GROUP)
+                .agg(F.max(RANK).alias("__highest"), F.count(F.lit(1)).alias("__held"), F.max(QUOTA).alias("__of"))
+                .filter(F.col("__held") >= F.col("__of"))
+                .select(F.col(GROUP).alias("__full"), "__highest")
+            )
+            full = F.broadcast(full) if small else full
+            rows = (
+                rows.join(full, F.col(GROUP) == F.col("__full"), "left")
+                .filter(F.col("__highest").isNull() | (F.col(RANK) < F.col("__highest")))
+                .drop("__full", "__highest")
+                .unionByName(held)
+            )
+        kept = keep_lowest(
+            rows, GROUP, order, QUOTA, bounds.largest_quota, bounds.rows, rows_per_task=rows_per_task
+        )
+        kept = kept.withColumn("__batch", F.lit(batch_id).cast("bigint"))
+        kept.select(*schema.names).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+
+    run_batches(stream, merge, checkpoint, mode="append", partitions=partitions)
+    slots = spark.read.schema(schema).parquet(path)
+    last = slots.agg(F.max("__batch").alias("last")).first().last
+    sample = slots.filter(F.col("__batch") == F.lit(last))
+    kept = [col(c) for c in stream.columns]
+    return sample.select(*kept, *([F.col(QUOTA).alias("s")] if with_quota else []))

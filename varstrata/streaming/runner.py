@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from varstrata.functions.columns import col
@@ -71,6 +72,24 @@ def append_to(
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def run_batches(
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    *,
+    mode: str,
+    partitions: int | None = None,
+) -> None:
+    """Process what is there, handing each micro-batch and its number to ``write``."""
+    writer = (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+    )
+    _finish(start(writer, stream.sparkSession, partitions))
+
+
 def batches_to(
     stream: DataFrame,
     path: str,
@@ -78,25 +97,18 @@ def batches_to(
     *,
     mode: str,
     transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
-    schema=None,
+    schema: T.StructType | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Process what is there, writing each micro-batch to its own folder; return the table.
 
     A batch that is repeated after a failure overwrites its folder, so nothing is counted twice.
-    The table has the extra column ``batch_id``.
+    ``schema`` is that of the transformed rows. The table has the extra column ``batch_id``.
     """
-    spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
-    _finish(start(writer, spark, partitions))
-    fields = schema or stream.schema
-    return spark.read.schema(fields.add("batch_id", "long") if schema is None else fields).parquet(path)
+    run_batches(stream, write, checkpoint, mode=mode, partitions=partitions)
+    fields = T.StructType([*(schema or stream.schema).fields, T.StructField("batch_id", T.LongType())])
+    return stream.sparkSession.read.schema(fields).parquet(path)
