@@ -1,0 +1,128 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from varstrata import allocation, cumulative_stats, strata_stats, windowed_stats, windowed_total, with_total
+from varstrata.operators.allocate import measure_bounds, rows_with_allocation
+
+
+def by_key(df, *keys):
+    return {tuple(row[k] for k in keys): row for row in df.collect()}
+
+
+def test_population_deviation_and_ratio(edge):
+    stats = strata_stats(edge(("a", "", "1"), ("a", "", "3"), ("b", "", "5")), "k1", "x")
+    rows = by_key(stats, "k1")
+    assert (rows["a",].n, rows["a",].mean, rows["a",].sd, rows["a",].gamma) == (2, 2.0, 1.0, 0.5)
+    assert (rows["b",].n, rows["b",].sd, rows["b",].gamma) == (1, 0.0, 0.0)
+
+
+def test_unreadable_measure_counts_as_zero_or_is_dropped(edge):
+    df = edge(("a", "", "4"), ("a", "", "abc"), ("a", "", ""))
+    assert by_key(strata_stats(df, "k1", "x"), "k1")["a",].n == 3
+    dropped = by_key(strata_stats(df, "k1", "x", bad_measure="drop"), "k1")["a",]
+    assert (dropped.n, dropped.mean) == (1, 4.0)
+
+
+def test_header_left_in_becomes_a_stratum(edge):
+    rows = by_key(strata_stats(edge(("k1", "k2", "x"), ("a", "", "3")), "k1", "x"), "k1")
+    assert rows["k1",].mean == 0.0
+
+
+def test_keys_with_commas_stay_apart_and_null_is_a_stratum(edge):
+    df = edge(("a,b", "c", "1"), ("a", "b,c", "2"), (None, "c", "3"), (None, "c", "5"))
+    rows = by_key(strata_stats(df, "k1,k2", "x"), "k1", "k2")
+    assert len(rows) == 3 and rows[None, "c"].n == 2
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 10])
+def test_constant_measure_has_no_deviation(edge, partitions):
+    df = edge(*[("a", "", "0.1")] * 10).repartition(partitions)
+    row = strata_stats(df, "k1", "x").first()
+    assert row.sd == 0.0 and row.gamma == 0.0
+
+
+def test_total_ignores_degenerate_strata(edge):
+    df = edge(("z", "", "-1"), ("z", "", "1"), ("n", "", "NaN"), ("n", "", "1"), ("a", "", "1"), ("a", "", "3"))
+    rows = by_key(with_total(strata_stats(df, "k1", "x")), "k1")
+    assert rows["z",].gamma == 0.0 and rows["n",].gamma == 0.0
+    assert rows["a",].total_gamma == pytest.approx(0.5)
+
+
+def test_propagated_infinity_starves_finite_strata(edge):
+    df = edge(("z", "", "-1"), ("z", "", "1"), ("a", "", "1"), ("a", "", "3"))
+    rows = by_key(allocation(df, "k1", "x", 20, degenerate="propagate"), "k1")
+    assert rows["a",].s == 0 and rows["z",].s == 0
+
+
+def test_allocation_shares_the_budget(edge):
+    df = edge(*[(k, "", v) for k in "ab" for v in ("1", "3")], ("c", "", "7"), ("c", "", "7"))
+    rows = by_key(allocation(df, "k1", "x", 5), "k1")
+    # 2.5 each, rounded up on its own
+    assert [rows[k,].s for k in "abc"] == [3, 3, 0]
+    assert [r.s for r in allocation(df, "k1", "x", 5, min_per_stratum=1).orderBy("k1").collect()] == [3, 3, 1]
+
+
+def test_negative_mean_gives_negative_quota(edge):
+    df = edge(("m", "", "-3"), ("m", "", "-1"), ("a", "", "1"), ("a", "", "9"))
+    rows = by_key(allocation(df, "k1", "x", 20), "k1")
+    assert rows["m",].gamma == -0.5 and rows["m",].s < 0
+    assert measure_bounds(allocation(df, "k1", "x", 20), ["k1"]).drawn == 1
+    assert by_key(allocation(df, "k1", "x", 20, abs_mean=True), "k1")["m",].s > 0
+
+
+def test_all_constant_allocates_nothing(edge):
+    df = edge(("a", "", "2"), ("a", "", "2"), ("b", "", "3"))
+    assert {r.s for r in allocation(df, "k1", "x", 20).collect()} == {0}
+
+
+def test_empty_table(edge, spark):
+    df = edge(("a", "", "1")).filter("k1 = 'b'")
+    assert allocation(df, "k1", "x", 20).count() == 0
+
+
+@pytest.mark.parametrize("budget", [0, 32 * 1024 * 1024])
+def test_rows_with_allocation_keeps_each_row_once(edge, budget):
+    df = edge((None, "c", "1"), (None, "c", "3"), ("a", "c", "1"), ("a", "c", "5"), ("a", "c", "5"))
+    alloc = allocation(df, "k1,k2", "x", 20)
+    joined = rows_with_allocation(df, alloc, "k1,k2", broadcast_bytes=budget)
+    assert joined.count() == 5
+    assert {(r.k1, r.n) for r in joined.collect()} == {(None, 2), ("a", 3)}
+    known = alloc.filter("k1 is not null")
+    assert rows_with_allocation(df, known, "k1,k2", broadcast_bytes=budget).count() == 3
+
+
+def test_rows_with_allocation_refuses_to_overwrite_columns(spark):
+    df = spark.createDataFrame([("a", 1, 2.0)], "k string, n int, x double")
+    with pytest.raises(ValueError):
+        rows_with_allocation(df, allocation(df, "k", "x", 20), "k")
+
+
+def timed(spark, *rows):
+    data = [(k, dt.datetime(2024, 1, day, 12), float(x)) for k, day, x in rows]
+    return spark.createDataFrame(data, "k string, ts timestamp_ntz, x double")
+
+
+def test_windows_and_their_totals(spark):
+    df = timed(spark, ("a", 1, 1), ("a", 1, 3), ("b", 1, 2), ("b", 1, 6), ("a", 2, 5))
+    rows = windowed_total(windowed_stats(df, "k", "x", "ts", "1 day")).collect()
+    totals = {(r.window.start.day, r.k): (r.n, r.gamma, r.total_gamma) for r in rows}
+    assert totals == {(1, "a"): (2, 0.5, 1.0), (1, "b"): (2, 0.5, 1.0), (2, "a"): (1, 0.0, 0.0)}
+
+
+def test_cumulative_includes_earlier_windows(spark):
+    df = timed(spark, ("a", 1, 1), ("a", 1, 3), ("a", 2, 5), ("a", 4, 11), ("b", 2, 0.1), ("b", 3, 0.1))
+    running = cumulative_stats(windowed_stats(df, "k", "x", "ts", "1 day"), "k")
+    rows = {(r.k, r.window.start.day): r for r in running.collect()}
+    assert [rows["a", d].n for d in (1, 2, 4)] == [2, 3, 4]
+    assert rows["a", 2].mean == pytest.approx(3.0)
+    assert rows["a", 4].sd == pytest.approx((((1 - 5) ** 2 + (3 - 5) ** 2 + 0 + 36) / 4) ** 0.5)
+    assert rows["b", 3].sd == 0.0 and rows["b", 3].gamma == 0.0
+
+
+def test_cumulative_keeps_precision_far_from_zero(spark):
+    df = timed(spark, *[("a", d, 1e9 + d % 2) for d in range(1, 21)])
+    running = cumulative_stats(windowed_stats(df, "k", "x", "ts", "1 day"), "k")
+    last = running.orderBy(F.desc("window")).first()
+    assert last.sd == pytest.approx(0.5, rel=1e-9)
