@@ -214,9 +214,27 @@ def test_first_fill_takes_the_first_rows(rows, m):
         assert ids(first_fill_allocated(rows, alloc, "key", arrival="id", **options)) == expected
 
 
-def test_first_fill_above_the_group_limit(rows):
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 450}])
+def test_first_fill_above_the_group_limit(rows, options):
     alloc = allocation(rows, "key", "x", 300).withColumn("s", F.when(F.col("key") == "hot", 4321).otherwise(F.col("s")))
-    assert ids(first_fill_allocated(rows, alloc, "key", arrival="id")) == brute_first_fill(rows, alloc)
+    found = ids(first_fill_allocated(rows, alloc, "key", arrival="id", **options))
+    assert found == brute_first_fill(rows, alloc)
+
+
+def test_first_fill_above_the_group_limit_with_ties_and_nulls(rows):
+    coarse = rows.withColumn("minute", F.when(F.col("id") % 50 != 0, F.floor(F.col("id") / 3000)))
+    alloc = allocation(rows, "key", "x", 300).withColumn("s", F.when(F.col("key") == "hot", 4321).otherwise(F.col("s")))
+    found = ids(first_fill_allocated(coarse, alloc, "key", arrival=["minute", "id"]))
+    groups = defaultdict(list)
+    for r in coarse.collect():
+        groups[r.key].append((r.minute is not None, r.minute or 0, r.id))
+    assert found == {i for k, (n, s) in quotas_of(alloc).items() if 0 < s <= n for _, _, i in sorted(groups[k])[:s]}
+
+
+def test_first_fill_of_text_times(rows):
+    named = rows.withColumn("time", F.lpad(F.col("id").cast("string"), 6, "0"))
+    alloc = allocation(rows, "key", "x", 300).withColumn("s", F.when(F.col("key") == "hot", 4321).otherwise(F.col("s")))
+    assert ids(first_fill_allocated(named, alloc, "key", arrival="time")) == brute_first_fill(rows, alloc)
 
 
 def test_first_fill_gives_nothing_for_small_strata(edge):

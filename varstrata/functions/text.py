@@ -8,4 +8,4 @@ from pyspark.sql import functions as F
 
 def tokens(text: Column) -> Column:
     """Lower-case words: split at runs of characters other than ASCII letters, digits and ``_``."""
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda word: word != "")
+    return F.array_remove(F.split(F.lower(text), r"\W+"), "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from varstrata.plans.runtime import conf_int, materialize
@@ -15,6 +15,11 @@ ROWS_PER_TASK = 4_000_000
 MAX_SALTS = 4096
 
 
+def group_limit(spark: SparkSession) -> int:
+    """The greatest position for which the planner trims groups before a shuffle."""
+    return conf_int(spark, GROUP_LIMIT_KEY, 1000)
+
+
 def keep_lowest(
     df: DataFrame,
     group: str,
@@ -31,7 +36,7 @@ def keep_lowest(
     planner's group-limit threshold every task first trims its own rows to ``largest`` per group,
     before the shuffle. Above it, groups are cut into ranges, so no task ever sees a whole group.
     """
-    if largest <= conf_int(df.sparkSession, GROUP_LIMIT_KEY, 1000):
+    if largest <= group_limit(df.sparkSession):
         return _trimmed(df, group, order, limit, largest, min(MAX_SALTS, math.ceil(rows / rows_per_task)))
     return _ranged(df, group, order, limit)
 

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varstrata.functions import ranks
 from varstrata.functions.columns import as_names, col, measure_value, resolve, resolve_roles
 from varstrata.operators.allocate import (
     BROADCAST_BYTES,
+    ROW_OVERHEAD,
     Bounds,
     allocation,
     measure_bounds,
     stratum_key,
 )
-from varstrata.operators.lowest import ROWS_PER_TASK, keep_lowest
+from varstrata.operators.lowest import ROWS_PER_TASK, group_limit, keep_lowest
 from varstrata.plans.runtime import materialize
 
 GROUP, OF, RANK, CUT, SIZE, QUOTA = "__stratum", "__of", "__rank", "__cut", "__n", "__s"
@@ -199,19 +202,79 @@ def first_fill_allocated(
 ) -> DataFrame:
     """:func:`first_fill_sample` for a given allocation table."""
     key_names = resolve(df.columns, keys)
-    order = [col(c) for c in resolve(df.columns, as_names(arrival))]
+    times = resolve(df.columns, as_names(arrival))
+    order = [col(c) for c in times]
     alloc_keys = resolve(alloc.columns, key_names)
-    filled = alloc.filter((F.col("s") > 0) & (F.col("n") >= F.col("s")))
-    bounds = measure_bounds(filled, alloc_keys)
-    if bounds.drawn == 0:
+    fills = F.when(F.col("n") >= F.col("s"), F.col("s")).otherwise(F.lit(0).cast("bigint"))
+    rows = df.withColumn(GROUP, stratum_key(key_names))
+    limit = group_limit(df.sparkSession)
+
+    parts = []
+    for small in (True, False):
+        fits = F.col("s") <= limit if small else F.col("s") > limit
+        chosen = alloc.withColumn("s", F.when(fits, fills).otherwise(F.lit(0).cast("bigint")))
+        bounds = measure_bounds(chosen, alloc_keys)
+        if bounds.drawn == 0:
+            continue
+        quotas = chosen.select(stratum_key(alloc_keys).alias(OF), F.col("n").alias(SIZE), F.col("s").alias(QUOTA))
+
+        def draw(frame: DataFrame, bounds: Bounds = bounds) -> DataFrame:
+            return keep_lowest(
+                frame, GROUP, order, QUOTA, bounds.largest_quota, bounds.rows, rows_per_task=rows_per_task
+            )
+
+        for frame in _quoted(rows, quotas, bounds, broadcast_bytes):
+            parts.append(draw(frame) if small else _early_rows(frame, times[0], draw))
+    if not parts:
         return _shape(_empty(df), df.columns, with_quota)
-    quotas = filled.select(
-        stratum_key(alloc_keys).alias(OF), F.col("n").alias(SIZE), F.col("s").alias(QUOTA)
-    )
-    rows = df.withColumn(GROUP, stratum_key(key_names)).join(
-        _side(quotas, bounds.drawn_bytes(), broadcast_bytes), F.col(GROUP) == F.col(OF)
+    return _shape(reduce(DataFrame.unionByName, parts), df.columns, with_quota)
+
+
+def _quoted(rows: DataFrame, quotas: DataFrame, bounds: Bounds, broadcast_bytes: int) -> list[DataFrame]:
+    """Rows with their quotas, in frames none of which shuffles a hot stratum to join it."""
+    wanted = quotas.filter(F.col(QUOTA) > 0)
+    if bounds.drawn_bytes() <= broadcast_bytes:
+        return [rows.join(F.broadcast(wanted), F.col(GROUP) == F.col(OF)).drop(OF)]
+    slots = max(1, broadcast_bytes // bounds.row_bytes)
+    is_hot = F.col(SIZE) * slots >= bounds.rows
+    hot = rows.join(F.broadcast(wanted.filter(is_hot)), F.col(GROUP) == F.col(OF)).drop(OF)
+    hot_keys = quotas.filter(is_hot).select(F.col(OF).alias("__hot"))
+    cold = rows.join(F.broadcast(hot_keys), F.col(GROUP) == F.col("__hot"), "left_anti")
+    return [hot, cold.join(wanted.filter(~is_hot).hint("merge"), F.col(GROUP) == F.col(OF)).drop(OF)]
+
+
+ACCURACY = 10_000
+GRID = [0.0005, 0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+
+
+def _early_rows(frame: DataFrame, time: str, draw) -> DataFrame:
+    """The first rows of strata with large quotas, without sorting the rest of them.
+
+    One scan of key and time finds, per stratum, an approximate quantile of time just above the
+    quota's share. The rows up to a time are a prefix of the arrival order, so if they are enough
+    they hold the exact answer; if they are not, all rows are ranked.
+    """
+    kind = frame.schema[time].dataType
+    if not isinstance(kind, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return draw(frame)
+    above = F.size(F.filter(F.array(*map(F.lit, GRID)), lambda f: f < F.col("__share")))
+    cuts = materialize(
+        frame.groupBy(GROUP)
+        .agg(
+            F.percentile_approx(col(time), GRID, ACCURACY).alias("__times"),
+            (F.first(QUOTA) / F.first(SIZE) + 2.0 / ACCURACY).alias("__share"),
+            F.first(QUOTA).alias("__need"),
+        )
+        .select(F.col(GROUP).alias("__cut_of"), F.get("__times", above).alias("__until"), "__need")
     )
-    first = keep_lowest(
-        rows.drop(OF), GROUP, order, QUOTA, bounds.largest_quota, bounds.rows, rows_per_task=rows_per_task
+    size = cuts.agg(F.sum("__need").alias("need"), F.count(F.lit(1)).alias("strata")).first()
+    until = cuts.select("__cut_of", "__until")
+    # one row per stratum with a quota above the group limit
+    until = F.broadcast(until) if size.strata * ROW_OVERHEAD <= BROADCAST_BYTES else until
+    early = (
+        frame.join(until, F.col(GROUP) == F.col("__cut_of"))
+        .filter(F.col("__until").isNull() | col(time).isNull() | (col(time) <= F.col("__until")))
+        .drop("__cut_of", "__until")
     )
-    return _shape(first, df.columns, with_quota)
+    first = materialize(draw(early))
+    return first if first.count() == size.need else draw(frame)
