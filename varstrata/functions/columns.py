@@ -175,7 +175,8 @@ def variation(mean: Column, sd: Column, *, weight=1.0, degenerate: str = "zero",
     ratio = ieee_divide(F.sqrt(weight) * sd, centre)
     if degenerate == "propagate":
         return ratio
-    return F.when((mean != 0) & is_finite(ratio), ratio).otherwise(F.lit(0.0))
+    # without deviation it is 0, not the -0.0 of a negative mean
+    return F.when((mean != 0) & (sd != 0) & is_finite(ratio), ratio).otherwise(F.lit(0.0))
 
 
 def quota(gamma: Column, total_gamma: Column, m: float, *, degenerate: str = "zero") -> Column:

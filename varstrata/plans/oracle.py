@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def guarded(mean: str, sd: str, weight: float = 1.0) -> str:
     root = f"sqrt(cast({weight} as double))"
-    return f"case when {mean} <> 0 then {root} * {sd} / {mean} else cast(0 as double) end"
+    return f"case when {mean} <> 0 and {sd} <> 0 then {root} * {sd} / {mean} else cast(0 as double) end"
 
 
 def stats(table: str, keys: str, x: str, *, gamma: str | None = None) -> str:
