@@ -102,6 +102,15 @@ def rows_with_allocation(
     shuffle on the keys, where the adaptive planner splits the partitions of hot strata.
     ``df`` may be a stream, ``alloc`` is a batch table.
     """
+    alloc_keys = resolve(alloc.columns, resolve(df.columns, keys))
+    fits = measure_bounds(alloc, alloc_keys).all_bytes() <= broadcast_bytes
+    return attach(df, alloc, keys, columns, broadcast=fits)
+
+
+def attach(
+    df: DataFrame, alloc: DataFrame, keys: str | Sequence[str], columns: Sequence[str], *, broadcast: bool
+) -> DataFrame:
+    """The join of :func:`rows_with_allocation` for a table of known size."""
     key_names = resolve(df.columns, keys)
     taken = [c for c in columns if c in df.columns]
     if taken:
@@ -109,6 +118,5 @@ def rows_with_allocation(
     side = alloc.select(
         stratum_key(resolve(alloc.columns, key_names)).alias("__of"), *[F.col(c) for c in columns]
     )
-    fits = measure_bounds(alloc, resolve(alloc.columns, key_names)).all_bytes() <= broadcast_bytes
-    side = F.broadcast(side) if fits else side.hint("merge")
+    side = F.broadcast(side) if broadcast else side.hint("merge")
     return df.join(side, stratum_key(key_names) == F.col("__of")).drop("__of")

@@ -99,7 +99,11 @@ def windowed_total(windowed: DataFrame) -> DataFrame:
     statistics are written once, so the table is scanned once; the join's strategy is left to the
     runtime statistics, which also split a window that holds very many strata.
     """
-    windowed = materialize(windowed)
+    return join_totals(materialize(windowed))
+
+
+def join_totals(windowed: DataFrame) -> DataFrame:
+    """The join of :func:`windowed_total`, for statistics that are cheap to read twice."""
     totals = windowed.groupBy("window").agg(F.sum("gamma").alias("total_gamma"))
     return windowed.join(totals, "window")
 

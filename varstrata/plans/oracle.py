@@ -42,10 +42,11 @@ def sample(table: str, keys: str, x: str, m: int, id: str, columns: str) -> str:
 
 def first_fill(table: str, keys: str, x: str, m: int, arrival: str, columns: str) -> str:
     of_key = ", ".join(f"r.{k}" for k in keys.split(", "))
+    order = ", ".join(f"r.{c}" for c in arrival.split(", "))
     return (
         f"{quotas(table, keys, x, m)},"
         " ranked as (select r.*, a.n, a.s,"
-        f" row_number() over (partition by {of_key} order by r.{arrival}) as place"
+        f" row_number() over (partition by {of_key} order by {order}) as place"
         f" from {table} r join alloc a using ({keys}))"
         f" select {columns} from ranked where place <= s and n >= s"
     )
@@ -147,6 +148,9 @@ ORACLE: dict[str, str] = {
     "first_fill_small_strata": first_fill(
         *CUSTOMERS, 2000, "c_custkey", "c_custkey, c_nationkey, c_mktsegment, n, s"
     ),
+    "first_fill_large_quota": first_fill(
+        "orders", "o_orderstatus", "o_totalprice", 6000, "o_orderdate, o_orderkey", "o_orderkey, o_orderstatus, n, s"
+    ),
     "csv_split_lenient": LINE_COLUMNS.format(who="event_type || ', ' || cast(user_id as varchar) as who"),
     "csv_file_read": "select event_id, event_type, value as reading, props from events",
     "csv_lines_read": "select event_id, event_type, value as reading, replace(props, '\"', '') as props from events",

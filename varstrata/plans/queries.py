@@ -44,6 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns(spark: SparkSession, sf_dir: str, name: str, *names: str) -> DataFrame:
+    """Some columns of a table: a sample is written out, so it reads whatever its input has."""
+    return table(spark, sf_dir, name).select(*names)
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = table(spark, sf_dir, name).schema
     return file_stream(spark, sf_dir, schema, glob=f"{name}.parquet")
@@ -180,52 +185,55 @@ def rows_with_allocation_events(spark, sf_dir):
 
 @query
 def stratified_sample_orders(spark, sf_dir):
-    sample = stratified_sample(
-        table(spark, sf_dir, "orders"), ORDER_KEYS, "o_totalprice", 200, id="o_orderkey", with_quota=True
-    )
-    return sample.select("o_orderkey", *ORDER_KEYS, "o_totalprice", "n", "s")
+    orders = columns(spark, sf_dir, "orders", "o_orderkey", *ORDER_KEYS, "o_totalprice")
+    return stratified_sample(orders, ORDER_KEYS, "o_totalprice", 200, id="o_orderkey", with_quota=True)
 
 
 @query
 def stratified_sample_events(spark, sf_dir):
-    sample = stratified_sample(
-        table(spark, sf_dir, "events"), "event_type", "value", 50, id="event_id", with_quota=True
-    )
-    return sample.select("event_id", "event_type", "value", "s")
+    events = columns(spark, sf_dir, "events", "event_id", "event_type", "value")
+    sample = stratified_sample(events, "event_type", "value", 50, id="event_id", with_quota=True)
+    return sample.drop("n")
 
 
 @query
 def stratified_sample_many_strata(spark, sf_dir):
-    sample = stratified_sample(
-        table(spark, sf_dir, "orders"), "o_custkey", "o_totalprice", 5000, id="o_orderkey", with_quota=True
-    )
-    return sample.select("o_orderkey", "o_custkey", "n", "s")
+    orders = columns(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    sample = stratified_sample(orders, "o_custkey", "o_totalprice", 5000, id="o_orderkey", with_quota=True)
+    return sample.drop("o_totalprice")
 
 
 @query
 def stratified_sample_large_quota(spark, sf_dir):
-    sample = stratified_sample(
-        table(spark, sf_dir, "orders"), "o_orderstatus", "o_totalprice", 6000, id="o_orderkey", with_quota=True
-    )
-    return sample.select("o_orderkey", "o_orderstatus", "n", "s")
+    orders = columns(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
+    sample = stratified_sample(orders, "o_orderstatus", "o_totalprice", 6000, id="o_orderkey", with_quota=True)
+    return sample.drop("o_totalprice")
 
 
 @query
 def first_fill_sample_events(spark, sf_dir):
-    sample = first_fill_sample(
-        table(spark, sf_dir, "events"), "event_type", "value", 50, arrival="event_id", with_quota=True
-    )
-    return sample.select("event_id", "event_type", "s")
+    events = columns(spark, sf_dir, "events", "event_id", "event_type", "value")
+    sample = first_fill_sample(events, "event_type", "value", 50, arrival="event_id", with_quota=True)
+    return sample.drop("value", "n")
 
 
 @query
 def first_fill_small_strata(spark, sf_dir):
     # quotas near stratum sizes: strata smaller than their quota give nothing
+    customers = columns(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    sample = first_fill_sample(
+        customers, "c_nationkey,c_mktsegment", "c_acctbal", 2000, arrival="c_custkey", with_quota=True
+    )
+    return sample.drop("c_acctbal")
+
+
+@query
+def first_fill_large_quota(spark, sf_dir):
+    orders = columns(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
     sample = first_fill_sample(
-        table(spark, sf_dir, "customer"), "c_nationkey,c_mktsegment", "c_acctbal", 2000,
-        arrival="c_custkey", with_quota=True,
+        orders, "o_orderstatus", "o_totalprice", 6000, arrival="o_orderdate,o_orderkey", with_quota=True
     )
-    return sample.select("c_custkey", "c_nationkey", "c_mktsegment", "n", "s")
+    return sample.drop("o_orderdate", "o_totalprice")
 
 
 # ---- text, records, documents -----------------------------------------------------------------
@@ -308,8 +316,9 @@ def stats_wire_allocation(spark, sf_dir):
 
 @query
 def sample_wire(spark, sf_dir):
-    sample = stratified_sample(table(spark, sf_dir, "orders"), ORDER_KEYS, "o_totalprice", 200, id="o_orderkey")
-    return records.encode_sample(sample.select("o_orderkey", "o_custkey", *ORDER_KEYS), ORDER_KEYS)
+    orders = columns(spark, sf_dir, "orders", "o_orderkey", "o_custkey", *ORDER_KEYS, "o_totalprice")
+    sample = stratified_sample(orders, ORDER_KEYS, "o_totalprice", 200, id="o_orderkey")
+    return records.encode_sample(sample.drop("o_totalprice"), ORDER_KEYS)
 
 
 @query

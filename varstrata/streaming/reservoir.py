@@ -23,6 +23,7 @@ from varstrata.functions import ranks
 from varstrata.functions.columns import as_names, col, resolve
 from varstrata.operators.allocate import (
     BROADCAST_BYTES,
+    attach,
     measure_bounds,
     rows_with_allocation,
     stratum_key,
@@ -175,7 +176,7 @@ def reservoir_to(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = (
-            rows_with_allocation(batch, wanted, key_names, columns=("s",), broadcast_bytes=broadcast_bytes)
+            attach(batch, wanted, key_names, ("s",), broadcast=small)
             .withColumnRenamed("s", QUOTA)
             .withColumn(GROUP, stratum_key(key_names))
             .withColumn(RANK, ranks.rank(ids, seed, hash))

@@ -90,25 +90,22 @@ def run_batches(
     _finish(start(writer, stream.sparkSession, partitions))
 
 
-def batches_to(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    *,
-    mode: str,
-    transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
-    schema: T.StructType | None = None,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Process what is there, writing each micro-batch to its own folder; return the table.
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write a micro-batch to its own folder; a batch that is repeated overwrites its folder."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    A batch that is repeated after a failure overwrites its folder, so nothing is counted twice.
-    ``schema`` is that of the transformed rows. The table has the extra column ``batch_id``.
-    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table of all micro-batches, with the extra column ``batch_id``."""
+    fields = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(fields).parquet(path)
+
 
-    run_batches(stream, write, checkpoint, mode=mode, partitions=partitions)
-    fields = T.StructType([*(schema or stream.schema).fields, T.StructField("batch_id", T.LongType())])
-    return stream.sparkSession.read.schema(fields).parquet(path)
+def batches_to(
+    stream: DataFrame, path: str, checkpoint: str, *, mode: str, partitions: int | None = None
+) -> DataFrame:
+    """Process what is there in any output mode into a table at ``path``, by micro-batch; return it."""
+    run_batches(
+        stream, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint, mode=mode, partitions=partitions
+    )
+    return read_batches(stream.sparkSession, path, stream.schema)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varstrata.operators.stats import windowed_total
-from varstrata.streaming.runner import batches_to
+from varstrata.operators.stats import join_totals
+from varstrata.streaming.runner import read_batches, run_batches, write_batch
 
 
 def window_gamma(stats: DataFrame, width: str = "30 seconds") -> DataFrame:
@@ -30,6 +30,14 @@ def totals_to(
     end; so the total over the batch is the total over the window, and the join needs no state.
     """
     schema = T.StructType([*stats.schema.fields, T.StructField("total_gamma", T.DoubleType())])
-    return batches_to(
-        stats, path, checkpoint, mode="append", transform=windowed_total, schema=schema, partitions=partitions
-    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # read twice, for the total and for the rows; a lost part is computed again from the same state
+        batch = batch.persist()
+        try:
+            write_batch(join_totals(batch), path, batch_id)
+        finally:
+            batch.unpersist()
+
+    run_batches(stats, write, checkpoint, mode="append", partitions=partitions)
+    return read_batches(stats.sparkSession, path, schema)
