@@ -65,7 +65,7 @@ def small(rows):
     ids=["plain", "no_broadcast", "hot_broadcast", "salted", "redraw_all", "redraw_salted"],
 )
 def test_every_plan_gives_the_brute_force_sample(rows, small, options):
-    drawn = sample_allocated(rows, small, "key", id="id", **options)
+    drawn = sample_allocated(rows, small, "key", id="id", hash="md5", **options)
     assert drawn.columns == rows.columns
     assert ids(drawn) == expected_ids(rows, small)
 
@@ -73,7 +73,19 @@ def test_every_plan_gives_the_brute_force_sample(rows, small, options):
 @pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"slack": -1e9}], ids=["plain", "shuffled", "redraw"])
 def test_quotas_above_the_group_limit_are_ranked_by_range(rows, options):
     alloc = allocation(rows, "key", "x", 300).withColumn("s", F.when(F.col("key") == "hot", 4321).otherwise(F.col("s")))
-    assert ids(sample_allocated(rows, alloc, "key", id="id", **options)) == expected_ids(rows, alloc)
+    assert ids(sample_allocated(rows, alloc, "key", id="id", hash="md5", **options)) == expected_ids(rows, alloc)
+
+
+@pytest.mark.parametrize("options", [{"hash": "md5"}, {"hash": "xxhash64"}, {"broadcast_bytes": 0}, {"id": None}])
+def test_rows_above_every_cut_off_are_left_out_early(rows, options):
+    hot = rows.filter("key = 'hot' or key = 'k0'").withColumn("key", F.coalesce(F.when(F.col("id") % 2 == 0, "a"), F.lit("b")))
+    alloc = allocation(hot, "key", "x", 20)
+    options = {"id": "id", **options}
+    drawn = sample_allocated(hot, alloc, "key", **options)
+    everything = sample_allocated(hot, alloc, "key", slack=1e9, **options)
+    assert drawn.count() == everything.count() == 20
+    if options["id"]:
+        assert ids(drawn) == ids(everything)
 
 
 def test_quota_above_stratum_size_takes_all(rows):
@@ -174,7 +186,7 @@ def test_plan_cuts_before_the_only_shuffle(spark, small, rows, monkeypatch, tmp_
     rows.write.parquet(path)
     seen = []
     monkeypatch.setattr(sample_module, "materialize", lambda df: (seen.append(df), df)[1])
-    sample_allocated(spark.read.parquet(path), small, "key", id="id")
+    sample_allocated(spark.read.parquet(path), small, "key", id="id", hash="md5")
     text = plan(seen[0])
     # one shuffle of rows (the other exchange is the broadcast), trimmed on its way in
     assert text.count("Exchange hashpartitioning") == 1

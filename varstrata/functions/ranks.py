@@ -18,12 +18,12 @@ KINDS = ("md5", "xxhash64")
 HEX_DIGITS = 13  # 52 bits, so that a cut-off is exact in a double
 
 
-def rank(ids: Sequence[str] | None, seed: int, kind: str = "md5") -> Column:
+def rank(ids: Sequence[str] | None, seed: int, kind: str = "xxhash64") -> Column:
     """Rank of a row.
 
     With id columns the rank is a hash of seed and ids: the same on every run, whatever the
-    partitioning. ``md5`` can be recomputed in any SQL engine, ``xxhash64`` is several times
-    cheaper. Without ids it is ``rand(seed)``, independent of the row's content.
+    partitioning. ``xxhash64`` is many times cheaper than ``md5``, which can be recomputed in
+    other SQL engines. Without ids it is ``rand(seed)``, independent of the row's content.
     """
     if not ids:
         return F.rand(seed)
@@ -45,7 +45,7 @@ def cut_fraction(s: Column, n: Column, slack: float = 30.0) -> Column:
     return F.when(expected >= n, F.lit(1.0)).otherwise(expected / n.cast("double"))
 
 
-def cut_off(fraction: Column, ids: Sequence[str] | None, kind: str = "md5") -> Column:
+def cut_off(fraction: Column, ids: Sequence[str] | None, kind: str = "xxhash64") -> Column:
     """The highest rank that passes, in the type :func:`rank` yields."""
     if not ids:
         return fraction

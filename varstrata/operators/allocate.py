@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varstrata.functions.columns import col, quota, resolve
@@ -63,6 +63,7 @@ class Bounds:
     largest_quota: int
     sample_rows: int  # sum of min(s, n)
     row_bytes: int  # widest key plus overhead
+    widest_cut: float = 1.0  # the greatest cut-off of a drawn stratum
 
     def all_bytes(self) -> int:
         return self.strata * self.row_bytes
@@ -71,8 +72,10 @@ class Bounds:
         return self.drawn * self.row_bytes
 
 
-def measure_bounds(alloc: DataFrame, keys: Sequence[str]) -> Bounds:
+def measure_bounds(alloc: DataFrame, keys: Sequence[str], cut: Column | None = None) -> Bounds:
+    """``cut`` is the expression of a stratum's cut-off, as a fraction of its rows."""
     drawn = F.col("s") > 0
+    cut = F.lit(1.0) if cut is None else cut
     key_bytes = sum((F.coalesce(F.octet_length(col(k).cast("string")), F.lit(0)) for k in keys), F.lit(0))
     row = alloc.agg(
         F.count(F.lit(1)).alias("strata"),
@@ -81,10 +84,11 @@ def measure_bounds(alloc: DataFrame, keys: Sequence[str]) -> Bounds:
         F.coalesce(F.max("s"), F.lit(0)).alias("largest_quota"),
         F.coalesce(F.sum(F.when(drawn, F.least("s", "n"))), F.lit(0)).alias("sample_rows"),
         F.coalesce(F.max(key_bytes), F.lit(0)).alias("key_bytes"),
+        F.coalesce(F.max(F.when(drawn, cut)), F.lit(1.0)).alias("widest_cut"),
     ).first()
     return Bounds(
         int(row.strata), int(row.drawn), int(row.rows), int(row.largest_quota), int(row.sample_rows),
-        int(row.key_bytes) + ROW_OVERHEAD,
+        int(row.key_bytes) + ROW_OVERHEAD, float(row.widest_cut),
     )
 
 

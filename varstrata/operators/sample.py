@@ -33,7 +33,7 @@ def stratified_sample(
     *,
     id: str | Sequence[str] | None = None,
     seed: int = 42,
-    hash: str = "md5",
+    hash: str = "xxhash64",
     weight: float = 1.0,
     degenerate: str = "zero",
     abs_mean: bool = False,
@@ -69,7 +69,7 @@ def sample_allocated(
     *,
     id: str | Sequence[str] | None = None,
     seed: int = 42,
-    hash: str = "md5",
+    hash: str = "xxhash64",
     with_quota: bool = False,
     slack: float = 30.0,
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -84,11 +84,11 @@ def sample_allocated(
     key_names = resolve(df.columns, keys)
     ids = resolve(df.columns, id) if id is not None else None
     alloc_keys = resolve(alloc.columns, key_names)
-    bounds = measure_bounds(alloc, alloc_keys)
+    fraction = ranks.cut_fraction(F.col("s"), F.col("n"), slack)
+    bounds = measure_bounds(alloc, alloc_keys, fraction)
     if bounds.drawn == 0:
         return _shape(_empty(df), df.columns, with_quota)
 
-    fraction = ranks.cut_fraction(F.col("s"), F.col("n"), slack)
     quotas = alloc.select(
         stratum_key(alloc_keys).alias(OF),
         F.col("n").alias(SIZE),
@@ -101,7 +101,12 @@ def sample_allocated(
     def add_rank(frame: DataFrame) -> DataFrame:
         return frame if RANK in frame.columns else frame.withColumn(RANK, ranks.rank(ids, seed, hash))
 
-    candidates = _below_cut(ranked, quotas, key_names, bounds, add_rank, broadcast_bytes)
+    # what lies above every stratum's cut-off need not be joined at all
+    near = ranked
+    if bounds.widest_cut < 0.5:
+        widest = ranks.cut_off(F.lit(bounds.widest_cut), ids, hash)
+        near = ranked.filter((F.col(RANK) if ids is None else ranks.rank(ids, seed, hash)) <= widest)
+    candidates = _below_cut(near, quotas, key_names, bounds, add_rank, broadcast_bytes)
     order = [F.col(RANK), *[col(i) for i in ids or []]]
 
     def draw(frame: DataFrame) -> DataFrame:

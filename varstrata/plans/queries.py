@@ -27,6 +27,7 @@ from varstrata.streaming.runner import append_to, file_stream, with_event_time
 from varstrata.streaming.windows import totals_to, window_gamma
 from varstrata.streaming.words import counts_to, latest_counts
 
+# samples rank by md5, which the comparison can recompute
 ORDER_KEYS = ["o_orderpriority", "o_orderstatus"]
 DAY = "1 day"
 
@@ -186,27 +187,27 @@ def rows_with_allocation_events(spark, sf_dir):
 @query
 def stratified_sample_orders(spark, sf_dir):
     orders = columns(spark, sf_dir, "orders", "o_orderkey", *ORDER_KEYS, "o_totalprice")
-    return stratified_sample(orders, ORDER_KEYS, "o_totalprice", 200, id="o_orderkey", with_quota=True)
+    return stratified_sample(orders, ORDER_KEYS, "o_totalprice", 200, id="o_orderkey", hash="md5", with_quota=True)
 
 
 @query
 def stratified_sample_events(spark, sf_dir):
     events = columns(spark, sf_dir, "events", "event_id", "event_type", "value")
-    sample = stratified_sample(events, "event_type", "value", 50, id="event_id", with_quota=True)
+    sample = stratified_sample(events, "event_type", "value", 50, id="event_id", hash="md5", with_quota=True)
     return sample.drop("n")
 
 
 @query
 def stratified_sample_many_strata(spark, sf_dir):
     orders = columns(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
-    sample = stratified_sample(orders, "o_custkey", "o_totalprice", 5000, id="o_orderkey", with_quota=True)
+    sample = stratified_sample(orders, "o_custkey", "o_totalprice", 5000, id="o_orderkey", hash="md5", with_quota=True)
     return sample.drop("o_totalprice")
 
 
 @query
 def stratified_sample_large_quota(spark, sf_dir):
     orders = columns(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
-    sample = stratified_sample(orders, "o_orderstatus", "o_totalprice", 6000, id="o_orderkey", with_quota=True)
+    sample = stratified_sample(orders, "o_orderstatus", "o_totalprice", 6000, id="o_orderkey", hash="md5", with_quota=True)
     return sample.drop("o_totalprice")
 
 
@@ -317,7 +318,7 @@ def stats_wire_allocation(spark, sf_dir):
 @query
 def sample_wire(spark, sf_dir):
     orders = columns(spark, sf_dir, "orders", "o_orderkey", "o_custkey", *ORDER_KEYS, "o_totalprice")
-    sample = stratified_sample(orders, ORDER_KEYS, "o_totalprice", 200, id="o_orderkey")
+    sample = stratified_sample(orders, ORDER_KEYS, "o_totalprice", 200, id="o_orderkey", hash="md5")
     return records.encode_sample(sample.drop("o_totalprice"), ORDER_KEYS)
 
 
@@ -408,9 +409,9 @@ def stream_rows_with_allocation(spark, sf_dir):
 def stream_reservoir(spark, sf_dir):
     alloc = allocation(table(spark, sf_dir, "events"), "event_type", "value", 50)
     admitted = append_to(
-        admitted_rows(stream(spark, sf_dir, "events"), alloc, "event_type", id="event_id"), **sink(spark)
+        admitted_rows(stream(spark, sf_dir, "events"), alloc, "event_type", id="event_id", hash="md5"), **sink(spark)
     )
-    sample = reservoir_sample(admitted, alloc, "event_type", id="event_id", with_quota=True)
+    sample = reservoir_sample(admitted, alloc, "event_type", id="event_id", hash="md5", with_quota=True)
     return sample.select("event_id", "event_type", "value", "s")
 
 
@@ -418,7 +419,7 @@ def stream_reservoir(spark, sf_dir):
 def stream_reservoir_table(spark, sf_dir):
     alloc = allocation(table(spark, sf_dir, "events"), "event_type", "value", 50)
     events = stream(spark, sf_dir, "events")
-    sample = reservoir_to(events, alloc, "event_type", id="event_id", with_quota=True, **sink(spark))
+    sample = reservoir_to(events, alloc, "event_type", id="event_id", hash="md5", with_quota=True, **sink(spark))
     return sample.select("event_id", "event_type", "value", "s")
 
 

@@ -81,7 +81,7 @@ def admitted_rows(
     *,
     id: str | Sequence[str],
     seed: int = 42,
-    hash: str = "md5",
+    hash: str = "xxhash64",
     salts: int = 8,
     ttl_ms: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -126,7 +126,7 @@ def reservoir_sample(
     *,
     id: str | Sequence[str],
     seed: int = 42,
-    hash: str = "md5",
+    hash: str = "xxhash64",
     with_quota: bool = False,
 ) -> DataFrame:
     """The reservoirs' content from the table of admitted rows: the lowest ranks per stratum.
@@ -145,7 +145,7 @@ def reservoir_to(
     *,
     id: str | Sequence[str],
     seed: int = 42,
-    hash: str = "md5",
+    hash: str = "xxhash64",
     with_quota: bool = False,
     partitions: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
