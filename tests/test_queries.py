@@ -35,10 +35,10 @@ def as_lists(frame):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(entry_module.QUERIES) == set(entry_module.ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.QUERIES))
 def test_query(spark, engine, name):
     ours = as_lists(entry_module.queries()[name](spark, SF_DIR).toPandas())
     theirs = as_lists(engine.sql(entry_module.oracle_sql()[name]).df())
