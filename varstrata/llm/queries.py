@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varstrata.llm.bpe import bpe_decode, bpe_encode
 from varstrata.llm.linededup import line_dedup
 from varstrata.llm.mixing import mix
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
 
@@ -37,3 +40,13 @@ def op1_line_dedup(spark, sf_dir):
 def op8_mix_sources(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mix(docs).select("doc_id", "source", "place.*")
+
+
+@query
+def op5_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe_decode(bpe_encode(docs, VOCABULARY).select("doc_id", "n_tokens", "ids"), VOCABULARY)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
+    )
