@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from varstrata.llm.bpe import bpe_decode, bpe_encode
 from varstrata.llm.linededup import line_dedup
+from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -50,3 +51,8 @@ def op5_bpe(spark, sf_dir):
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_minmax_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
