@@ -28,10 +28,17 @@ def target_shares(sizes: DataFrame, source: str = "source", period: int = PERIOD
             sizes.join(given.withColumnRenamed(source, "__name"), sizes[source].eqNullSafe(F.col("__name")), "left")
             .select(sizes[source], F.coalesce("weight", F.lit(0.0)).alias("weight"))
         )
-    total = shares.agg(F.sum("weight").alias("total"))
-    part = F.when(F.col("total") > 0, F.col("weight") / F.col("total")).otherwise(F.lit(0.0))
-    whole = shares.join(F.broadcast(total)).select(source, F.greatest(F.lit(1), F.round(part * period).cast("int")).alias("a"))
-    return whole.join(F.broadcast(whole.agg(F.sum("a").cast("int").alias("p"))))
+    # one row: the sources and their weights, as many as there are sources
+    table = shares.agg(F.collect_list(F.struct(F.col(source).alias("s"), F.col("weight").cast("double").alias("w"))).alias("t"))
+    total = F.aggregate("t", F.lit(0.0), lambda sum, x: sum + x["w"])
+
+    def blocks(x: Column) -> Column:
+        part = F.when(F.col("total") > 0, x["w"] / F.col("total")).otherwise(F.lit(0.0))
+        return F.struct(x["s"].alias(source), F.greatest(F.lit(1), F.round(part * period).cast("int")).alias("a"))
+
+    whole = table.withColumn("total", total).select(F.transform("t", blocks).alias("t"))
+    p = F.aggregate("t", F.lit(0), lambda sum, x: sum + x["a"])
+    return whole.select("t", p.alias("p")).select(F.explode("t").alias("x"), "p").select("x.*", "p")
 
 
 def _release(k: Column, a: Column, p: Column) -> Column:

@@ -12,6 +12,8 @@ from varstrata.llm.bpe import bpe_decode, bpe_encode
 from varstrata.llm.linededup import line_dedup
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
+from varstrata.llm.quantised import embedding_near_duplicates
+from varstrata.llm.topk import top_k
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +58,13 @@ def op5_bpe(spark, sf_dir):
 @query
 def op10_minmax_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_embedding_near_dedup(spark, sf_dir):
+    return embedding_near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query
+def op9_exact_top_k(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
