@@ -46,7 +46,9 @@ def rows_of(spark, n, seed=1):
 def test_prefixes_follow_weights(spark):
     docs = rows_of(spark, 3000)
     weights = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 1.0), (None, 0.5), ("none", 9.0)], "source string, weight double")
-    out = mix(docs, weights=weights.filter("source is null or source != 'none'"), block_rows=4, period=100).collect()
+    clashing = docs.selectExpr("*", "1 a", "2 p", "3 k", "4 slot", "5 n", "6 o", "7 t")
+    out = mix(clashing, weights=weights.filter("source is null or source != 'none'"), block_rows=4, period=100).collect()
+    assert all((r.a, r.p, r.k, r.slot, r.n, r.o, r.t) == (1, 2, 3, 4, 5, 6, 7) for r in out)
     assert sorted(r.doc_id for r in out) == list(range(3000))
     blocks = sorted({(r.place.slot, r.source) for r in out}, key=lambda x: x[0])
     assert len({slot for slot, _ in blocks}) == len(blocks)

@@ -123,19 +123,19 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
         .withColumn("__block", F.floor(F.col("__at") / block_rows).cast("long"))
     )
     # a, p and the slots are one period: at most ``period`` rows and one for each source
-    shares = slots.select("__source", "a", "p").distinct()
+    shares = slots.select("__source", F.col("a").alias("__a"), F.col("p").alias("__p")).distinct()
     with_share = numbered.alias("r").join(
         F.broadcast(shares).alias("h"), F.col(source).eqNullSafe(F.col("h.__source"))
-    ).drop("__source").withColumn("__k", (F.col("__block") % F.col("a")).cast("int"))
+    ).drop("__source").withColumn("__k", (F.col("__block") % F.col("__a")).cast("int"))
     placed = with_share.join(
         F.broadcast(slots.select("__source", F.col("k").alias("__pk"), F.col("slot").alias("__slot"))),
         F.col(source).eqNullSafe(F.col("__source")) & (F.col("__k") == F.col("__pk")),
     )
     place = F.struct(
         F.col("__block").alias("block"),
-        _release(F.col("__block"), F.col("a"), F.col("p")).alias("release"),
-        _deadline(F.col("__block"), F.col("a"), F.col("p")).alias("deadline"),
-        (F.floor(F.col("__block") / F.col("a")) * F.col("p") + F.col("__slot")).cast("long").alias("slot"),
+        _release(F.col("__block"), F.col("__a"), F.col("__p")).alias("release"),
+        _deadline(F.col("__block"), F.col("__a"), F.col("__p")).alias("deadline"),
+        (F.floor(F.col("__block") / F.col("__a")) * F.col("__p") + F.col("__slot")).cast("long").alias("slot"),
         (F.col("__at") % block_rows).cast("int").alias("at"),
     )
     return placed.select(*[F.col(f"`{c}`") for c in rows.columns], place.alias("place"))

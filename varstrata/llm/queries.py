@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varstrata.llm.bpe import bpe_decode, bpe_encode
@@ -14,6 +14,7 @@ from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
 from varstrata.llm.quantised import embedding_near_duplicates
 from varstrata.llm.topk import top_k
+from varstrata.llm.toxicity import toxicity_model, toxicity_scores
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,18 @@ def op7_embedding_near_dedup(spark, sf_dir):
 @query
 def op9_exact_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+def held_out(id: str = "doc_id") -> Column:
+    """Rows whose labels are never learned from."""
+    return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"), train=~held_out())
+    scored = toxicity_scores(docs, model)
+    return scored.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
