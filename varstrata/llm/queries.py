@@ -13,6 +13,7 @@ from varstrata.llm.linededup import line_dedup
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
 from varstrata.llm.quantised import embedding_near_duplicates
+from varstrata.llm.secrets import secret_model, secret_scan
 from varstrata.llm.topk import top_k
 from varstrata.llm.toxicity import toxicity_model, toxicity_scores
 
@@ -84,3 +85,10 @@ def op6_toxicity(spark, sf_dir):
     return scored.select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op3_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secret_scan(docs, secret_model(docs))
+    return found.select("doc_id", "start", "end", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
