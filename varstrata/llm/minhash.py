@@ -251,8 +251,9 @@ def near_duplicates(
         .select("class", F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")).alias("g"))
     )
     texts = docs.select(F.col(id).alias("class"), F.encode(text, "utf-8").alias("text"))
-    one_text = members.select("class").distinct().join(texts, "class")
-    ready = dealt.join(one_text, "class").select("g", F.col("class").alias("member"), "text")
+    # merge: the same plan at every size, as the members grow with the corpus
+    one_text = members.select("class").distinct().hint("merge").join(texts, "class")
+    ready = dealt.hint("merge").join(one_text, "class").select("g", F.col("class").alias("member"), "text")
     parts = ready.repartition("g").sortWithinPartitions("g", "member")
     links = _links(parts, words, percent)
     twice = marks.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and id is not null").select("id")
