@@ -14,6 +14,7 @@ from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
 from varstrata.llm.quantised import embedding_near_duplicates
 from varstrata.llm.secrets import secret_model, secret_scan
+from varstrata.llm.suffix import suffix_dedup
 from varstrata.llm.topk import top_k
 from varstrata.llm.toxicity import toxicity_model, toxicity_scores
 
@@ -92,3 +93,12 @@ def op3_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     found = secret_scan(docs, secret_model(docs))
     return found.select("doc_id", "start", "end", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
