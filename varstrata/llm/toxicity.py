@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,11 +19,12 @@ SILENT = 0.02  # smaller kernel values count as 0
 WINDOW = 24  # longer words are several, each this long and half overlapping
 LANDMARKS = 48
 NEAR = 0.55**SHARPNESS  # landmarks are less alike than this
+LEAST_GAIN = 0.1  # of a landmark: difference of the shares of texts that have it, times the log of their ratio
 TRAINING_ROWS = 20_000
 CACHED_WORDS = 200_000
 TEXT_CHARS = 1_000_000
 _SPELLED = re.compile(r"(?<!\S)(?:\w\s){3,}\w(?!\S)")
-_EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_EDGES = string.punctuation + "«»“”„’‘…¿¡–—"
 
 
 def subsequence_kernel(a: np.ndarray, b: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
@@ -67,29 +69,36 @@ def _self_kernel(coded: np.ndarray) -> np.ndarray:
     return subsequence_kernel(coded, coded)
 
 
-def _letters(coded: np.ndarray) -> np.ndarray:
-    """The letters of each row, as a set of 63 bits."""
-    bits = np.where(coded > 1, np.uint64(1) << (coded % 63).astype(np.uint64), np.uint64(0))
-    return np.bitwise_or.reduce(bits, axis=1)
+def letters(words: list[str]) -> np.ndarray:
+    """The letters of each of some non-empty words, as a set of 63 bits."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    bits = np.uint64(1) << (flat % np.uint32(63)).astype(np.uint64)
+    return np.bitwise_or.reduceat(bits, np.append(0, np.cumsum(lengths)[:-1])) if len(words) else np.zeros(0, np.uint64)
+
+
+def alike(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """Which words have three quarters or more of a landmark's letters; all other kernel values count as 0."""
+    theirs = letters(landmarks)
+    common = np.bitwise_count(letters(words)[:, None] & theirs[None, :])
+    return 4 * common.astype(np.int16) >= 3 * np.bitwise_count(theirs).astype(np.int16)[None, :]
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel of words and landmarks, sharpened.
 
-    0 where the word lacks more than a third of the landmark's letters: only the other pairs are computed, those of
-    words of one length together.
+    Only pairs that are ``alike`` are computed, those of words of one length together.
     """
     out = np.zeros((len(words), len(landmarks)), np.float32)
     marks = codes(landmarks)
-    own, letters = _self_kernel(marks), _letters(marks)
+    own, near = _self_kernel(marks), alike(words, landmarks)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     for length in np.unique(lengths):
         every = np.flatnonzero(lengths == length)
         for low in range(0, len(every), 4096):
             part = every[low : low + 4096]
             coded = codes([words[i] for i in part])
-            common = np.bitwise_count(_letters(coded)[:, None] & letters[None, :])
-            i, j = np.nonzero(3 * common.astype(np.int64) >= 2 * np.bitwise_count(letters).astype(np.int64)[None, :])
+            i, j = np.nonzero(near[part])
             used, at = np.unique(i, return_inverse=True)
             among = _self_kernel(coded[used])[at]
             width = len(marks[0])
@@ -108,7 +117,7 @@ def words_of(text: str) -> list[str]:
 
 def windows(word: str) -> list[str]:
     """A word without marks at its ends; several overlapping ones for a long word; none for marks alone."""
-    word = _EDGES.sub("", word)
+    word = word.strip(_EDGES)
     if len(word) <= WINDOW:
         return [word] if word else []
     return [word[i : i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
@@ -126,20 +135,25 @@ class Summer:
         self.values = np.zeros((0, len(self.landmarks)), np.float32)
 
     def _learn(self, raw: list[str]) -> None:
-        parts = [windows(word) for word in raw]
-        plain = list(dict.fromkeys(p for ps in parts for p in ps))
-        place = {p: i for i, p in enumerate(plain)}
-        values = kernel(plain, self.landmarks) if plain else np.zeros((0, len(self.landmarks)), np.float32)
+        self.row.update(dict.fromkeys(raw, -1))
+        stripped = [w.strip(_EDGES) for w in raw]
+        owner = [i for i, w in enumerate(stripped) if 0 < len(w) <= WINDOW]
+        parts = [stripped[i] for i in owner]
+        for i, w in enumerate(stripped):
+            if len(w) > WINDOW:
+                pieces = windows(w)
+                owner += [i] * len(pieces)
+                parts += pieces
+        some = np.flatnonzero(alike(parts, self.landmarks).any(1))
+        values = kernel([parts[k] for k in some], self.landmarks)
         values[values < SILENT] = 0
-        loud = values.any(1)
-        new, base = [], len(self.values)
-        for word, ps in zip(raw, parts, strict=True):
-            rows = [place[p] for p in ps if loud[place[p]]]
-            self.row[word] = base + len(new) if rows else -1
-            if rows:
-                new.append(values[rows].sum(0))
-        if new:
-            self.values = np.vstack([self.values, new])
+        loud = np.flatnonzero(values.any(1))
+        rows, at = np.unique(np.array(owner, np.int64)[some[loud]], return_inverse=True)
+        new = np.zeros((len(rows), len(self.landmarks)), np.float32)
+        np.add.at(new, at, values[loud])
+        base = len(self.values)
+        self.row.update((raw[i], base + k) for k, i in enumerate(rows))
+        self.values = np.vstack([self.values, new])
 
     def sums(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.landmarks)), np.float32)
@@ -233,7 +247,7 @@ def choose_landmarks(counted: list[tuple[str, int, int]], toxic: int, clean: int
         p, q = (t + 0.5) / (toxic + 1), (c + 0.5) / (clean + 1)
         return abs(p - q) * abs(np.log(p / q))
 
-    order = sorted(counted, key=lambda x: (-gain(x[1], x[2]), -len(x[0]), x[0]))[: 20 * n]
+    order = sorted((x for x in counted if gain(x[1], x[2]) >= LEAST_GAIN), key=lambda x: (-gain(x[1], x[2]), -len(x[0]), x[0]))[: 20 * n]
     if not order:
         return ["landmark"]
     names = [x[0] for x in order]
