@@ -12,6 +12,7 @@ from varstrata.llm.bpe import bpe_decode, bpe_encode
 from varstrata.llm.linededup import line_dedup
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
+from varstrata.llm.pii import KINDS, find_pii, pii_model
 from varstrata.llm.quantised import embedding_near_duplicates
 from varstrata.llm.secrets import secret_model, secret_scan
 from varstrata.llm.suffix import suffix_dedup
@@ -102,3 +103,19 @@ def op2_suffix_dedup(spark, sf_dir):
     return kept.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+def _joined(spans: str) -> Column:
+    """kind:start:end of each span, with commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query
+def op4_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_pii(docs, pii_model(docs)).select("doc_id", "base", "spans")
+    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(F.encode(_joined("base"), "utf-8"), 256).alias("base_sha256"), _joined("spans").alias("spans"),
+        (F.size("spans") - F.size("base")).cast("bigint").alias("n_added"),
+    )
