@@ -99,27 +99,27 @@ def _induce_steps(text: np.ndarray, small: np.ndarray, sigma: int, lms: np.ndarr
     counts = np.bincount(text, minlength=sigma)
     tails = np.cumsum(counts)
     heads, ends = (tails - counts).tolist(), tails.tolist()
-    letters, is_small, order = text.tolist(), small.tolist(), [-1] * n
-    for i in reversed(lms.tolist()):
-        c = letters[i]
+    order = [-1] * n
+    for i, c in zip(lms[::-1].tolist(), text[lms[::-1]].tolist(), strict=True):
         ends[c] -= 1
         order[ends[c]] = i
-    c = letters[n - 1]
+    c = int(text[n - 1])
     order[heads[c]] = n - 1
     heads[c] += 1
-    for k in range(n):
-        j = order[k] - 1
-        if j >= 0 and not is_small[j]:
-            c = letters[j]
-            order[heads[c]] = j
+    # the letter before each suffix if that begins a larger (or smaller) one; at -1, a place not filled yet, none
+    before = np.append(-1, np.append(np.where(small, -1, text)[:-1], -1)).tolist()
+    for j in order:  # also meets what it adds further on
+        c = before[j]
+        if c >= 0:
+            order[heads[c]] = j - 1
             heads[c] += 1
     ends = tails.tolist()
-    for k in range(n - 1, -1, -1):
-        j = order[k] - 1
-        if j >= 0 and is_small[j]:
-            c = letters[j]
+    before = np.append(-1, np.append(np.where(small, text, -1)[:-1], -1)).tolist()
+    for j in reversed(order):
+        c = before[j]
+        if c >= 0:
             ends[c] -= 1
-            order[ends[c]] = j
+            order[ends[c]] = j - 1
     return np.array(order, np.int64)
 
 
@@ -180,28 +180,35 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     """For each place of the order, how many letters its suffix shares with the one before, up to ``most``.
 
     Computed in the order of the text (permuted): a suffix shares with its predecessor at least what the suffix one to the left
-    shares, less one. Many chains, one for each stretch of the text, go on side by side.
+    shares, less one. Many chains, one for each stretch of the text, go on side by side; letters are compared by eights if they are below 256, else by twos.
     """
     n = len(text)
+    if not n:
+        return np.zeros(0, np.int64)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
+    bits = 8 if text.max() < 256 else 32
+    width = 64 // bits
+    padded = np.append(text, np.zeros(width, np.int64)).astype(np.uint64)
+    words = np.zeros(n + 1, np.uint64)  # the letters from each place on, the first one lowest
+    for k in range(width):
+        words |= padded[k : k + n + 1] << np.uint64(bits * k)
     permuted = np.zeros(n, np.int64)
-    padded = np.append(text, -1)
-    stretch = max(most, int(np.sqrt(n)))
+    stretch = 2 * min(most, n)
     at = np.arange(0, n, stretch)
     end = np.minimum(at + stretch, n)
     shared = np.zeros(len(at), np.int64)
     while len(at):
         other = before[at]
-        shared[other < 0] = 0
-        open_ = np.flatnonzero((other >= 0) & (shared < most))
+        limit = np.where(other < 0, 0, np.minimum(most, n - np.maximum(at, other)))  # neither goes past the end
+        open_ = np.flatnonzero(shared < limit)
         while len(open_):
-            i, j = at[open_] + shared[open_], other[open_] + shared[open_]
-            same = (i < n) & (j < n)
-            same[same] = padded[i[same]] == padded[j[same]]
-            open_ = open_[same]
-            shared[open_] += 1
-            open_ = open_[shared[open_] < most]
+            differ = words[at[open_] + shared[open_]] ^ words[other[open_] + shared[open_]]
+            low = differ & (~differ + np.uint64(1))
+            same = np.where(differ == 0, width, np.bitwise_count(low - np.uint64(1)).astype(np.int64) // bits)
+            shared[open_] += same
+            open_ = open_[(same == width) & (shared[open_] < limit[open_])]
+        shared = np.minimum(shared, limit)
         permuted[at] = shared
         at = at + 1
         shared = np.maximum(shared - 1, 0)
@@ -213,6 +220,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
 def repeated_windows(parts: list[bytes], windows: np.ndarray, length: int) -> list[np.ndarray]:
     """For each part, which of its first ``windows`` places begin a string of ``length`` bytes that begins anywhere else in the parts too."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+    # of UTF-8 no byte is above 0xF7, so that letters stay below 256
     text = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int64) + 1
     starts = np.cumsum(sizes) - sizes
     text[starts + sizes - 1] = 0
