@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from varstrata import windowed_allocation, windowed_sample
 from varstrata import (
     allocation,
     first_fill_allocated,
@@ -253,3 +254,38 @@ def test_first_fill_gives_nothing_for_small_strata(edge):
     df = edge(("a", "", "1", "r1"), ("a", "", "9", "r2"), ("b", "", "1", "r3"), ("b", "", "3", "r4"))
     assert first_fill_sample(df, "k1", "x", 100, arrival="note").count() == 0
     assert stratified_sample(df, "k1", "x", 100, id="note").count() == 4
+
+
+def test_a_stratum_with_more_rows_than_counted_does_not_hide_one_with_fewer(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") < 10, "a").otherwise("b").alias("k"))
+    alloc = spark.createDataFrame([("a", 5, 10), ("b", 315_000, 10)], "k string, n long, s long")
+    sizes = {r.k: r["count"] for r in sample_allocated(rows, alloc, "k", id="id", seed=1).groupBy("k").count().collect()}
+    assert sizes == {"a": 10, "b": 10}
+
+
+def test_windowed_sample_sizes(spark):
+    rows = spark.range(3000).select(
+        "id", F.expr("timestamp'2024-01-01' + make_dt_interval(int(id % 4), int(id % 24))").alias("ts"),
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, "cold").alias("key"), (F.hash("id") % 90 + 100.0).alias("x"),
+    ).union(spark.sql("select 9999L, cast(null as timestamp), 'hot', 1.0D"))
+    alloc = windowed_allocation(rows.filter("ts is not null"), "key", "x", "ts", "1 day", 40).persist()
+    want = {(r.window.start, r.key): min(r.s, r.n) for r in alloc.collect() if r.s > 0}
+    sample = windowed_sample(rows, "key", "x", "ts", "1 day", 40, id="id", with_quota=True)
+    got = {(r.start, r.key): r["count"] for r in sample.groupBy(F.col("window.start").alias("start"), "key").count().collect()}
+    assert got == want and len(got) > 6 and sample.select("id").distinct().count() == sample.count()
+
+
+def test_large_quotas_of_few_candidates_are_ranked_by_a_plain_window(spark, rows, monkeypatch):
+    from varstrata.operators import lowest
+
+    monkeypatch.setattr(lowest, "_ranged", lambda *a: pytest.fail("cut into ranges"))
+    alloc = rows.groupBy("key").agg(F.count("*").alias("n")).withColumn("s", F.lit(1500).cast("bigint")).persist()
+    assert ids(sample_allocated(rows, alloc, "key", id="id", hash="md5")) == expected_ids(rows, alloc)
+
+
+def test_first_fill_ranks_only_early_rows(rows, monkeypatch):
+    seen = []
+    keep = sample_module.keep_lowest
+    monkeypatch.setattr(sample_module, "keep_lowest", lambda df, *a, **b: seen.append(df.count()) or keep(df, *a, **b))
+    first_fill_sample(rows, "key", "x", 30, arrival="id").count()
+    assert 0 < sum(seen) < rows.count() / 4

@@ -114,8 +114,30 @@ def test_nested_documents(spark, tmp_path):
     first = flat.filter("parameter = 'co'").first()
     assert (first.location, first.value, first.latitude, first.attribution) == (" 河", -99.5, 39.2, "S")
     assert flat.filter("parameter = 'no2'").first().latitude is None
-    text = spark.createDataFrame([(json.dumps(DOCUMENT),), ("not json",)], "value string")
-    assert nested.flatten_measurements(nested.parse_documents(text)).count() == 3
+
+
+def test_bad_documents_are_told(spark, tmp_path):
+    text = spark.createDataFrame([(json.dumps(DOCUMENT),), ("not json",), (None,)], "value string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        nested.flatten_measurements(nested.parse_documents(text)).collect()
+    assert nested.flatten_measurements(nested.parse_documents(text, bad="drop")).count() == 3
+    kept = nested.parse_documents(text, bad="keep")
+    assert [r.bad for r in kept.collect() if r.bad] == ["not json"] and kept.count() == 2
+    assert nested.flatten_measurements(kept).count() == 3
+    (tmp_path / "a.json").write_text(json.dumps(DOCUMENT), encoding="utf-8")
+    (tmp_path / "b.json").write_text("not json", encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        nested.read_documents(spark, str(tmp_path)).collect()
+    assert nested.flatten_measurements(nested.read_documents(spark, str(tmp_path), bad="drop")).count() == 3
+    assert nested.read_documents(spark, str(tmp_path), bad="keep").filter("bad is not null").count() == 1
+    with pytest.raises(ValueError):
+        nested.read_documents(spark, str(tmp_path), bad="skip")
+
+
+def test_lines_may_hold_the_separator(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("head\x01er\nab\x01cd,e\nplain\n\"q\x01,\"\x01\x01\n\x01\n", encoding="utf-8")
+    lines = [r.value for r in delimited.read_lines(spark, str(tmp_path)).collect()]
+    assert lines == ["ab\x01cd,e", "plain", "\"q\x01,\"\x01\x01"]
 
 
 def test_each_text_is_parsed_once(spark):

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from varstrata import allocation, cumulative_stats, strata_stats, stratified_sample, windowed_stats, word_count
 from varstrata.operators.allocate import rows_with_allocation
-from varstrata.streaming.cumulative import stream_cumulative_stats
-from varstrata.streaming.reservoir import admitted_rows, reservoir_sample, reservoir_to
+from varstrata.streaming.reservoir import admitted_to, reservoir_sample, reservoir_to
 from varstrata.streaming.runner import append_to, file_stream, with_arrival_time, with_event_time
-from varstrata.streaming.windows import totals_to, window_gamma
-from varstrata.streaming.words import counts_to, latest_counts
+from varstrata.streaming.windows import cumulative_to, totals_to, window_gamma, windows_to
+from varstrata.streaming.words import counts_to
 
 SCHEMA = "id long, ts timestamp_ntz, key string, x double, text string"
 
@@ -89,13 +88,68 @@ def test_window_gamma_is_a_window_over_windows(events, stream, sink):
     assert out.count() >= 4
 
 
+@pytest.mark.parametrize("closed_only", [True, False])
+def test_all_windows_come(events, stream, sink, closed_only):
+    out = windows_to(daily(stream), "key", closed_only=closed_only, **sink)
+    batch = batch_daily(events)
+    batch = closed(batch) if closed_only else batch
+    columns = ("window.start", "key", "n", "mean", "sd", "low", "high", "gamma")
+    assert as_set(out, *columns) == as_set(batch, *columns)
+    assert out.filter("closed").count() == 15 and out.count() == (15 if closed_only else 18)
+
+
+def test_totals_of_all_windows(events, stream, sink):
+    out = totals_to(daily(stream), keys="key", **sink)
+    batch = batch_daily(events)
+    totals = batch.groupBy("window").agg(F.sum("gamma").alias("total_gamma"))
+    columns = ("window.start", "key", "n", "gamma", "total_gamma")
+    assert as_set(out, *columns) == as_set(batch.join(totals, "window"), *columns)
+
+
 def test_cumulative_equals_batch(events, stream, sink):
-    out = append_to(stream_cumulative_stats(daily(stream), "key"), **sink)
-    batch = closed(cumulative_stats(batch_daily(events), "key")).withColumn("window_start", F.col("window.start"))
-    columns = ("window_start", "key", "n", "mean", "sd", "gamma")
+    out = cumulative_to(daily(stream), "key", **sink)
+    batch = cumulative_stats(batch_daily(events), "key")
+    columns = ("window.start", "key", "n", "mean", "sd", "gamma")
     assert as_set(out, *columns, decimals=6) == as_set(batch, *columns, decimals=6)
 
 
+def test_empty_streams_give_empty_tables(spark, events, sink, tmp_path):
+    (tmp_path / "none").mkdir()
+    alloc = allocation(events, "key", "x", 60)
+    for i, run in enumerate((
+        lambda s, p: append_to(s, **p), lambda s, p: reservoir_to(s, alloc, "key", id="id", **p), lambda s, p: admitted_to(s, alloc, "key", id="id", **p),
+        lambda s, p: counts_to(s, **p), lambda s, p: windows_to(daily(s), "key", **p), lambda s, p: cumulative_to(daily(s), "key", **p),
+    )):
+        places = {k: f"{v}{i}" if isinstance(v, str) else v for k, v in sink.items()}
+        assert run(file_stream(spark, str(tmp_path / "none"), SCHEMA), places).count() == 0
+
+
+def test_values_pass_through_reservoirs_unchanged(spark, tmp_path, sink):
+    rows = spark.sql(
+        "select id, if(id % 3 = 0, null, 9007199254740993 + id) as big, timestamp'9999-12-31' as late,"
+        " timestamp_ntz'9999-12-31' as local, 'k' as key, cast(id as decimal(30, 5)) as d from range(50)"
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    alloc = spark.createDataFrame([("k", 50, 20)], "key string, n long, s long")
+    for name, run in (("a", reservoir_to), ("b", admitted_to)):
+        places = {k: v + name if isinstance(v, str) else v for k, v in sink.items()}
+        out = run(file_stream(spark, str(tmp_path / "rows"), rows.schema), alloc, "key", id="id", **places)
+        assert out.select(rows.columns).exceptAll(rows).count() == 0 and out.count() == 20
+
+
+def test_streams_read_tables_that_are_folders(spark, tmp_path, monkeypatch):
+    from varstrata.plans import queries
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    for name in ("events", "documents"):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(4).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in [n for n in queries.QUERIES if n.startswith("stream_")]:
+        one, many = (queries.QUERIES[name](spark, d) for d in (sf, str(tmp_path)))
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.collect())), name
+
+
 def test_rows_join_a_static_allocation(events, stream, sink):
     alloc = allocation(events, "key", "x", 50)
     out = append_to(rows_with_allocation(stream, alloc, "key"), **sink)
@@ -103,14 +157,15 @@ def test_rows_join_a_static_allocation(events, stream, sink):
 
 
 @pytest.mark.parametrize("hash", ["md5", "xxhash64"])
-def test_admitted_rows_hold_the_batch_sample(events, stream, sink, hash):
+@pytest.mark.parametrize("budget", [0, 10**7])
+def test_admitted_rows_hold_the_batch_sample(events, stream, sink, hash, budget):
     alloc = allocation(events, "key", "x", 60).persist()
-    admitted = append_to(admitted_rows(stream, alloc, "key", id="id", hash=hash, salts=3), **sink)
-    sample = reservoir_sample(admitted, alloc, "key", id="id", hash=hash)
+    admitted = admitted_to(stream, alloc, "key", id="id", hash=hash, broadcast_bytes=budget, **sink)
+    sample = reservoir_sample(admitted.drop("batch_id"), alloc, "key", id="id", hash=hash)
     expected = stratified_sample(events, "key", "x", 60, id="id", hash=hash)
     assert as_set(sample, "id", "key") == as_set(expected, "id", "key")
     # admissions grow with the logarithm of the stream
-    assert admitted.count() < 700
+    assert admitted.count() < 300 and admitted.select("id").distinct().count() == admitted.count()
 
 
 @pytest.mark.parametrize("m", [60, 2600])
@@ -134,8 +189,8 @@ def test_reservoirs_go_on_after_a_restart(spark, events, folder, sink, tmp_path)
         source = file_stream(spark, folder, SCHEMA)
         if name == "table":
             return reservoir_to(source, alloc, "key", id="id", **places)
-        admitted = append_to(admitted_rows(source, alloc, "key", id="id"), **places)
-        return reservoir_sample(admitted, alloc, "key", id="id")
+        admitted = admitted_to(source, alloc, "key", id="id", **places)
+        return reservoir_sample(admitted.drop("batch_id"), alloc, "key", id="id")
 
     half = events.filter("id < 600")
     for name in ("table", "admitted"):
@@ -152,10 +207,11 @@ def drawn_size(rows, alloc):
     return sum(min(there[r.key], r.s) for r in alloc.collect() if r.s > 0)
 
 
-def test_word_counts_of_all_batches(events, stream, sink):
-    changes = counts_to(stream, **sink)
-    assert as_set(latest_counts(changes), "word", "n") == as_set(word_count(events), "word", "n")
-    assert changes.groupBy("word").count().agg(F.max("count")).first()[0] == 4
+def test_word_counts_of_all_batches(spark, events, stream, sink):
+    counts = counts_to(stream, **sink)
+    assert as_set(counts, "word", "n") == as_set(word_count(events), "word", "n")
+    # the table holds two states and does not grow with the batches
+    assert spark.read.parquet(sink["path"]).count() <= 2 * counts.count()
 
 
 def test_running_statistics_without_windows(spark, events, stream, sink):

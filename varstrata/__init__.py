@@ -1,12 +1,13 @@
 """Variance-driven stratified sampling for group-by queries on Spark."""
 
 from varstrata.functions.columns import Roles, resolve_roles
-from varstrata.operators.allocate import allocation, rows_with_allocation, with_quota
+from varstrata.operators.allocate import allocation, rows_with_allocation, windowed_allocation, with_quota
 from varstrata.operators.sample import (
     first_fill_allocated,
     first_fill_sample,
     sample_allocated,
     stratified_sample,
+    windowed_sample,
 )
 from varstrata.operators.stats import (
     cumulative_stats,
@@ -30,6 +31,8 @@ __all__ = [
     "strata_stats",
     "stratified_sample",
     "total_gamma",
+    "windowed_allocation",
+    "windowed_sample",
     "windowed_stats",
     "windowed_total",
     "with_quota",

@@ -120,36 +120,37 @@ def split_quoted(line: Column) -> Column:
     return F.transform(F.array(pieces), unquoted)[0]
 
 
-def lenient_double(text: Column) -> Column:
-    """Parse text as a double; what cannot be parsed becomes 0.0.
+def read_double(text: Column) -> Column:
+    """Parse text as a double; null if it is none.
 
     ``NaN`` and ``Infinity`` are numbers only in that spelling; ``nan`` or ``inf`` are not numbers.
     """
     trimmed = strip_controls(text)
     value = trimmed.try_cast("double")
-    spelled_nan = trimmed.rlike(r"^[+-]?NaN$")
-    other_word = trimmed.rlike(r"(?i)^[+-]?(inf|infinity|nan)$") & ~trimmed.rlike(r"^[+-]?Infinity$")
+    spelled = trimmed.rlike(r"^[+-]?(NaN|Infinity)$")
     # the patterns are tried only on the rare values that are not finite numbers
     return (
         F.when(value.isNotNull() & is_finite(value), value)
-        .when(spelled_nan, F.lit(NAN))
-        .when(value.isNull() | other_word, F.lit(0.0))
-        .otherwise(value)
+        .when(trimmed.rlike(r"^[+-]?NaN$"), F.lit(NAN))
+        .when(spelled | ~trimmed.rlike(r"(?i)^[+-]?(inf|infinity|nan)$"), value)
     )
 
 
+def lenient_double(text: Column) -> Column:
+    """Parse text as a double; what cannot be parsed becomes 0.0."""
+    return F.coalesce(read_double(text), F.lit(0.0))
+
+
 def measure_value(df: DataFrame, name: str, bad_measure: str = "zero") -> Column:
     """The measure as a double.
 
     ``bad_measure="zero"`` counts a missing or unreadable value as the observation 0.0;
-    ``"drop"`` turns it into null, so that the caller can leave the row out.
+    ``"drop"`` turns just those into null, so that the caller can leave the row out.
     """
     if bad_measure not in ("zero", "drop"):
         raise ValueError("bad_measure must be 'zero' or 'drop'")
-    is_text = dict(df.dtypes)[name] == "string"
-    if bad_measure == "drop":
-        return strip_controls(col(name)).try_cast("double") if is_text else col(name).cast("double")
-    return lenient_double(col(name)) if is_text else F.coalesce(col(name).cast("double"), F.lit(0.0))
+    value = read_double(col(name)) if dict(df.dtypes)[name] == "string" else col(name).cast("double")
+    return value if bad_measure == "drop" else F.coalesce(value, F.lit(0.0))
 
 
 def ieee_divide(a: Column, b: Column) -> Column:

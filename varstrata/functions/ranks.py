@@ -24,13 +24,18 @@ def rank(ids: Sequence[str] | None, seed: int, kind: str = "xxhash64") -> Column
     With id columns the rank is a hash of seed and ids: the same on every run, whatever the
     partitioning. ``xxhash64`` is many times cheaper than ``md5``, which can be recomputed in
     other SQL engines. Without ids it is ``rand(seed)``, independent of the row's content.
+
+    Rows whose ids hash alike (repeated ids; for ``md5`` also ids that differ only in nulls and ``|``) share a rank: sizes
+    stay exact, but such rows are not drawn independently of each other.
     """
     if not ids:
         return F.rand(seed)
     if kind == "md5":
         return F.md5(F.concat_ws("|", F.lit(str(seed)), *[col(i).cast("string") for i in ids]))
     if kind == "xxhash64":
-        return F.xxhash64(F.lit(seed), *[col(i) for i in ids])
+        # the hash skips nulls: with their places, (null, 5) and (5, null) differ
+        places = [F.when(col(i).isNull(), F.lit(p)) for p, i in enumerate(ids)] if len(ids) > 1 else []
+        return F.xxhash64(F.lit(seed), *[col(i) for i in ids], *places)
     raise ValueError(f"kind must be one of {KINDS}")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varstrata.functions.columns import col, quota, resolve
-from varstrata.operators.stats import strata_stats, with_total
+from varstrata.operators.stats import strata_stats, windowed_stats, windowed_total, with_total
 
 # A table of strata is broadcast only if its size, from counted rows and measured keys, is below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -41,13 +42,28 @@ def allocation(
     bad_measure: str = "zero",
     min_per_stratum: int = 0,
 ) -> DataFrame:
-    """Allocation table: keys, ``n, mean, sd, gamma, total_gamma, s``, one row per stratum."""
+    """Allocation table: keys, ``n, mean, sd, gamma, total_gamma, s``, one row per stratum.
+
+    Runs a job when called: the statistics are written once, their total is read back.
+    """
     stats = strata_stats(
         df, keys, measure, weight=weight, degenerate=degenerate, abs_mean=abs_mean, bad_measure=bad_measure
     )
     return with_quota(with_total(stats), m, degenerate=degenerate, min_per_stratum=min_per_stratum)
 
 
+def windowed_allocation(
+    df: DataFrame, keys: str | Sequence[str], measure: str, ts: str, width: str, m: float = 20.0, *, min_per_stratum: int = 0,
+    degenerate: str = "zero", **options,
+) -> DataFrame:
+    """Allocation of ``m`` rows in each tumbling window of ``ts``: ``window``, keys, ``n``, ``s`` and the statistics behind them.
+
+    The statistics are written once; the total of each window is read from there.
+    """
+    stats = windowed_total(windowed_stats(df, keys, measure, ts, width, degenerate=degenerate, **options))
+    return with_quota(stats, m, degenerate=degenerate, min_per_stratum=min_per_stratum)
+
+
 def stratum_key(keys: Sequence[str]):
     """The key columns as one struct: equal structs may hold nulls, so a null key is a stratum too."""
     return F.struct(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)])
@@ -64,6 +80,9 @@ class Bounds:
     sample_rows: int  # sum of min(s, n)
     row_bytes: int  # widest key plus overhead
     widest_cut: float = 1.0  # the greatest cut-off of a drawn stratum
+    quota_rows: int = 0  # sum of s
+    candidates: int = 0  # rows that pass the cut-offs, about
+    largest_group: int = 0  # the most of them in one stratum
 
     def all_bytes(self) -> int:
         return self.strata * self.row_bytes
@@ -85,10 +104,14 @@ def measure_bounds(alloc: DataFrame, keys: Sequence[str], cut: Column | None = N
         F.coalesce(F.sum(F.when(drawn, F.least("s", "n"))), F.lit(0)).alias("sample_rows"),
         F.coalesce(F.max(key_bytes), F.lit(0)).alias("key_bytes"),
         F.coalesce(F.max(F.when(drawn, cut)), F.lit(1.0)).alias("widest_cut"),
+        F.coalesce(F.sum(F.when(drawn, F.col("s"))), F.lit(0)).alias("quota_rows"),
+        F.coalesce(F.sum(F.when(drawn, F.col("n") * cut)), F.lit(0.0)).alias("candidates"),
+        F.coalesce(F.max(F.when(drawn, F.col("n") * cut)), F.lit(0.0)).alias("largest_group"),
     ).first()
     return Bounds(
         int(row.strata), int(row.drawn), int(row.rows), int(row.largest_quota), int(row.sample_rows),
-        int(row.key_bytes) + ROW_OVERHEAD, float(row.widest_cut),
+        int(row.key_bytes) + ROW_OVERHEAD, float(row.widest_cut), int(row.quota_rows), math.ceil(row.candidates),
+        math.ceil(row.largest_group),
     )
 
 

@@ -28,16 +28,21 @@ def keep_lowest(
     largest: int,
     rows: int,
     *,
+    largest_group: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Keep the rows whose position in ``group`` by ``order`` is at most the column ``limit``.
 
-    ``largest`` is the greatest limit and ``rows`` an upper bound for the rows of ``df``. Up to the
-    planner's group-limit threshold every task first trims its own rows to ``largest`` per group,
-    before the shuffle. Above it, groups are cut into ranges, so no task ever sees a whole group.
+    ``largest`` is the greatest limit, ``rows`` about the number of rows of ``df`` and ``largest_group`` that of its largest group, if known.
+    Up to the planner's group-limit threshold every task first trims its own rows to ``largest`` per group,
+    before the shuffle. Above it, groups that fit a task are ranked by a plain window; larger ones are cut into ranges, so
+    that no task sees a whole group.
     """
     if largest <= group_limit(df.sparkSession):
         return _trimmed(df, group, order, limit, largest, min(MAX_SALTS, math.ceil(rows / rows_per_task)))
+    if largest_group is not None and largest_group <= rows_per_task:
+        placed = df.withColumn("__place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+        return placed.filter(F.col("__place") <= F.col(limit)).drop("__place")
     return _ranged(df, group, order, limit)
 
 

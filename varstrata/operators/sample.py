@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,13 +13,13 @@ from varstrata.functions import ranks
 from varstrata.functions.columns import as_names, col, measure_value, resolve, resolve_roles
 from varstrata.operators.allocate import (
     BROADCAST_BYTES,
-    ROW_OVERHEAD,
     Bounds,
     allocation,
     measure_bounds,
     stratum_key,
+    windowed_allocation,
 )
-from varstrata.operators.lowest import ROWS_PER_TASK, group_limit, keep_lowest
+from varstrata.operators.lowest import ROWS_PER_TASK, keep_lowest
 from varstrata.plans.runtime import materialize
 
 GROUP, OF, RANK, CUT, SIZE, QUOTA = "__stratum", "__of", "__rank", "__cut", "__n", "__s"
@@ -81,25 +81,38 @@ def sample_allocated(
     Should a cut-off turn out too low for some stratum (ids that are not unique, counts that do not
     belong to this table), those strata are drawn again without one, so sizes are always exact.
     """
+    drawn = draw_rows(
+        df, alloc, keys, id=id, seed=seed, hash=hash, slack=slack, broadcast_bytes=broadcast_bytes,
+        rows_per_task=rows_per_task,
+    )
+    return _shape(drawn, df.columns, with_quota)
+
+
+def draw_rows(
+    df: DataFrame, alloc: DataFrame, keys: str | Sequence[str], *, id, seed: int, hash: str, slack: float = 30.0,
+    broadcast_bytes: int = BROADCAST_BYTES, rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """:func:`sample_allocated` with the stratum, rank, size and quota of each row as extra columns."""
     key_names = resolve(df.columns, keys)
     ids = resolve(df.columns, id) if id is not None else None
     alloc_keys = resolve(alloc.columns, key_names)
     fraction = ranks.cut_fraction(F.col("s"), F.col("n"), slack)
     bounds = measure_bounds(alloc, alloc_keys, fraction)
-    if bounds.drawn == 0:
-        return _shape(_empty(df), df.columns, with_quota)
 
+    # taken before any shuffle, where a random rank is the same again if a task is repeated
+    ranked = df.withColumn(RANK, ranks.rank(None, seed)) if ids is None else df
+
+    def add_rank(frame: DataFrame) -> DataFrame:
+        return frame if RANK in frame.columns else frame.withColumn(RANK, ranks.rank(ids, seed, hash))
+
+    if bounds.drawn == 0:
+        return add_rank(_empty(df).withColumn(GROUP, stratum_key(key_names)))
     quotas = alloc.select(
         stratum_key(alloc_keys).alias(OF),
         F.col("n").alias(SIZE),
         F.col("s").alias(QUOTA),
         ranks.cut_off(fraction, ids, hash).alias(CUT),
     )
-    # taken before any shuffle, where a random rank is the same again if a task is repeated
-    ranked = df.withColumn(RANK, ranks.rank(None, seed)) if ids is None else df
-
-    def add_rank(frame: DataFrame) -> DataFrame:
-        return frame if RANK in frame.columns else frame.withColumn(RANK, ranks.rank(ids, seed, hash))
 
     # what lies above every stratum's cut-off need not be joined at all
     near = ranked
@@ -109,15 +122,13 @@ def sample_allocated(
     candidates = _below_cut(near, quotas, key_names, bounds, add_rank, broadcast_bytes)
     order = [F.col(RANK), *[col(i) for i in ids or []]]
 
-    def draw(frame: DataFrame) -> DataFrame:
+    def draw(frame: DataFrame, rows: int, largest_group: int) -> DataFrame:
         return keep_lowest(
-            frame, GROUP, order, QUOTA, bounds.largest_quota, bounds.rows, rows_per_task=rows_per_task
+            frame, GROUP, order, QUOTA, bounds.largest_quota, rows, largest_group=largest_group, rows_per_task=rows_per_task
         )
 
-    drawn = materialize(draw(candidates))
-    if drawn.count() == bounds.sample_rows:
-        return _shape(drawn, df.columns, with_quota)
-
+    drawn = materialize(draw(candidates, bounds.candidates, bounds.largest_group))
+    # stratum by stratum: one with more rows than its count says must not make up for one with fewer
     got = drawn.groupBy(GROUP).agg(F.count(F.lit(1)).alias("__got"))
     short = materialize(
         quotas.filter(F.col(QUOTA) > 0)
@@ -125,11 +136,36 @@ def sample_allocated(
         .filter(F.coalesce("__got", F.lit(0)) < F.least(QUOTA, SIZE))
         .select(OF, SIZE, QUOTA)
     )
+    if short.isEmpty():
+        return drawn
     full = drawn.join(short.select(F.col(OF).alias("__short")), F.col(GROUP) == F.col("__short"), "left_anti")
     again = ranked.withColumn(GROUP, stratum_key(key_names))
     again = again.join(_side(short, bounds.drawn_bytes(), broadcast_bytes), F.col(GROUP) == F.col(OF)).drop(OF)
-    redrawn = materialize(draw(add_rank(again)))
-    return _shape(full.select(*redrawn.columns).unionByName(redrawn), df.columns, with_quota)
+    redrawn = materialize(draw(add_rank(again), bounds.rows, bounds.rows))
+    return full.select(*redrawn.columns).unionByName(redrawn)
+
+
+def with_window(df: DataFrame, ts: str, width: str) -> DataFrame:
+    """Add ``window``, the tumbling window of ``ts`` that a row lies in; rows without a time have none and are left out."""
+    return df.filter(col(ts).isNotNull()).withColumn("window", F.window(col(ts), width))
+
+
+def windowed_sample(
+    df: DataFrame, keys: str | Sequence[str], measure: str, ts: str, width: str, m: float = 20.0, *,
+    id: str | Sequence[str] | None = None, seed: int = 42, hash: str = "xxhash64", with_quota: bool = False,
+    alloc: DataFrame | None = None, bad_measure: str = "zero", **options,
+) -> DataFrame:
+    """A sample of ``m`` rows of every window, allotted to the strata by their variation within that window.
+
+    Every row is joined to the allocation of its own window (``alloc``, or made from ``df``), and ``min(s, n)`` rows of
+    each window and stratum are drawn. The sample has the column ``window``.
+    """
+    df = _readable(df, keys, measure, bad_measure)
+    key_names = resolve(df.columns, keys)
+    if alloc is None:
+        alloc = materialize(windowed_allocation(df, key_names, measure, ts, width, m, bad_measure=bad_measure, **options))
+    rows = with_window(df, resolve(df.columns, ts)[0], width)
+    return sample_allocated(rows, alloc, ["window", *key_names], id=id, seed=seed, hash=hash, with_quota=with_quota)
 
 
 def _side(table: DataFrame, size: int, broadcast_bytes: int) -> DataFrame:
@@ -186,7 +222,7 @@ def first_fill_sample(
     """The first ``s_i`` rows in arrival order of every stratum that has at least ``s_i`` rows.
 
     This is what a reservoir that reports once, at the moment it first fills, gives out. Strata
-    with fewer rows than their quota give nothing.
+    with fewer rows than their quota give nothing. Runs jobs when called.
     """
     df = _readable(df, keys, measure, bad_measure)
     alloc = allocation(
@@ -205,34 +241,75 @@ def first_fill_allocated(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """:func:`first_fill_sample` for a given allocation table."""
+    """:func:`first_fill_sample` for a given allocation table.
+
+    Rows are counted by stratum and slice of the arrival time; running sums over the slices give the one in which each
+    quota fills. Only rows up to there are ranked, whatever the quota.
+    """
     key_names = resolve(df.columns, keys)
     times = resolve(df.columns, as_names(arrival))
     order = [col(c) for c in times]
     alloc_keys = resolve(alloc.columns, key_names)
     fills = F.when(F.col("n") >= F.col("s"), F.col("s")).otherwise(F.lit(0).cast("bigint"))
-    rows = df.withColumn(GROUP, stratum_key(key_names))
-    limit = group_limit(df.sparkSession)
-
-    parts = []
-    for small in (True, False):
-        fits = F.col("s") <= limit if small else F.col("s") > limit
-        chosen = alloc.withColumn("s", F.when(fits, fills).otherwise(F.lit(0).cast("bigint")))
-        bounds = measure_bounds(chosen, alloc_keys)
-        if bounds.drawn == 0:
-            continue
-        quotas = chosen.select(stratum_key(alloc_keys).alias(OF), F.col("n").alias(SIZE), F.col("s").alias(QUOTA))
-
-        def draw(frame: DataFrame, bounds: Bounds = bounds) -> DataFrame:
-            return keep_lowest(
-                frame, GROUP, order, QUOTA, bounds.largest_quota, bounds.rows, rows_per_task=rows_per_task
-            )
-
-        for frame in _quoted(rows, quotas, bounds, broadcast_bytes):
-            parts.append(draw(frame) if small else _early_rows(frame, times[0], draw))
-    if not parts:
+    chosen = alloc.withColumn("s", fills)
+    bounds = measure_bounds(chosen, alloc_keys)
+    if bounds.drawn == 0:
         return _shape(_empty(df), df.columns, with_quota)
-    return _shape(reduce(DataFrame.unionByName, parts), df.columns, with_quota)
+    quotas = chosen.select(stratum_key(alloc_keys).alias(OF), F.col("n").alias(SIZE), F.col("s").alias(QUOTA))
+
+    slices = _slice(df, times[0])
+    rows = df.withColumn(GROUP, stratum_key(key_names)).withColumn("__slice", slices)
+    counts = rows.groupBy(F.col(GROUP).alias("__counted"), "__slice").agg(F.count(F.lit(1)).alias("__size"))
+    so_far = Window.partitionBy("__counted").orderBy("__slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = (
+        counts.join(quotas.filter(F.col(QUOTA) > 0), F.col("__counted") == F.col(OF))
+        .withColumn("__end", F.sum("__size").over(so_far))
+        .groupBy(OF, SIZE, QUOTA)
+        .agg(
+            F.min(F.when(F.col("__end") >= F.col(QUOTA), F.col("__slice"))).alias("__until"),
+            F.min(F.when(F.col("__end") >= F.col(QUOTA), F.col("__end"))).alias("__early"),
+        )
+    )
+    ends = materialize(ends)
+    sizes = ends.select(F.coalesce("__early", SIZE).alias("rows")).agg(F.sum("rows").alias("all"), F.max("rows").alias("most")).first()
+    early = [
+        frame.filter(F.col("__until").isNull() | (F.col("__slice") <= F.col("__until"))).drop("__slice", "__until", "__early")
+        for frame in _quoted(rows, ends, bounds, broadcast_bytes)
+    ]
+    drawn = [
+        keep_lowest(
+            frame, GROUP, order, QUOTA, bounds.largest_quota, sizes["all"] or 0, largest_group=sizes["most"] or 0,
+            rows_per_task=rows_per_task,
+        )
+        for frame in early
+    ]
+    return _shape(reduce(DataFrame.unionByName, drawn), df.columns, with_quota)
+
+
+SLICES = 4096
+
+
+def _slice(df: DataFrame, time: str) -> Column:
+    """A number that never falls as ``time`` rises: equal slices between its least and greatest value; one slice if it is no number."""
+    kind, value = df.schema[time].dataType, col(time)
+    if isinstance(kind, T.TimestampNTZType):
+        seconds = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+        number = F.datediff(value.cast("date"), F.lit("1970-01-01").cast("date")).cast("double") * 86_400 + seconds
+    elif isinstance(kind, T.DateType):
+        number = F.datediff(value, F.lit("1970-01-01").cast("date")).cast("double")
+    elif isinstance(kind, (T.NumericType, T.TimestampType)):
+        number = value.cast("double")
+    else:
+        return F.lit(0)
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    ends = df.agg(F.min(finite).alias("low"), F.max(finite).alias("high")).first()
+    low, width = ends["low"] or 0.0, (ends["high"] or 0.0) - (ends["low"] or 0.0)
+    inside = F.floor((number - low) * (SLICES / width)).cast("int") if 0 < width < float("inf") else F.lit(0)
+    # nulls come first in arrival order, NaN last
+    return (
+        F.when(number.isNull(), -1).when(F.isnan(number) | (number > low + width), SLICES + 1).when(number < low, 0)
+        .otherwise(F.least(F.greatest(inside, F.lit(0)), F.lit(SLICES)))
+    )
 
 
 def _quoted(rows: DataFrame, quotas: DataFrame, bounds: Bounds, broadcast_bytes: int) -> list[DataFrame]:
@@ -246,40 +323,3 @@ def _quoted(rows: DataFrame, quotas: DataFrame, bounds: Bounds, broadcast_bytes:
     hot_keys = quotas.filter(is_hot).select(F.col(OF).alias("__hot"))
     cold = rows.join(F.broadcast(hot_keys), F.col(GROUP) == F.col("__hot"), "left_anti")
     return [hot, cold.join(wanted.filter(~is_hot).hint("merge"), F.col(GROUP) == F.col(OF)).drop(OF)]
-
-
-ACCURACY = 10_000
-GRID = [0.0005, 0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
-
-
-def _early_rows(frame: DataFrame, time: str, draw) -> DataFrame:
-    """The first rows of strata with large quotas, without sorting the rest of them.
-
-    One scan of key and time finds, per stratum, an approximate quantile of time just above the
-    quota's share. The rows up to a time are a prefix of the arrival order, so if they are enough
-    they hold the exact answer; if they are not, all rows are ranked.
-    """
-    kind = frame.schema[time].dataType
-    if not isinstance(kind, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return draw(frame)
-    above = F.size(F.filter(F.array(*map(F.lit, GRID)), lambda f: f < F.col("__share")))
-    cuts = materialize(
-        frame.groupBy(GROUP)
-        .agg(
-            F.percentile_approx(col(time), GRID, ACCURACY).alias("__times"),
-            (F.first(QUOTA) / F.first(SIZE) + 2.0 / ACCURACY).alias("__share"),
-            F.first(QUOTA).alias("__need"),
-        )
-        .select(F.col(GROUP).alias("__cut_of"), F.get("__times", above).alias("__until"), "__need")
-    )
-    size = cuts.agg(F.sum("__need").alias("need"), F.count(F.lit(1)).alias("strata")).first()
-    until = cuts.select("__cut_of", "__until")
-    # one row per stratum with a quota above the group limit
-    until = F.broadcast(until) if size.strata * ROW_OVERHEAD <= BROADCAST_BYTES else until
-    early = (
-        frame.join(until, F.col(GROUP) == F.col("__cut_of"))
-        .filter(F.col("__until").isNull() | col(time).isNull() | (col(time) <= F.col("__until")))
-        .drop("__cut_of", "__until")
-    )
-    first = materialize(draw(early))
-    return first if first.count() == size.need else draw(frame)

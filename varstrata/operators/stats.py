@@ -93,7 +93,7 @@ def windowed_stats(
 
 
 def windowed_total(windowed: DataFrame) -> DataFrame:
-    """Attach to every (window, stratum) row the sum of ``gamma`` over its window.
+    """Attach to every (window, stratum) row the sum of ``gamma`` over its window; runs a job when called.
 
     An aggregate of one row per window and task, then an equi-join on the window. The windowed
     statistics are written once, so the table is scanned once; the join's strategy is left to the

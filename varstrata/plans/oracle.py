@@ -58,6 +58,7 @@ def r6(*names: str) -> str:
 
 ORDERS = ("orders", "o_orderpriority, o_orderstatus", "o_totalprice")
 ORDER_KEY = "concat_ws(',', o_orderpriority, o_orderstatus)"
+PRICED = "(select *, cast(round(o_totalprice) as bigint) as price from orders)"
 CUSTOMERS = ("customer", "c_nationkey, c_mktsegment", "c_acctbal")
 EVENTS = ("events", "event_type", "value")
 
@@ -95,6 +96,34 @@ def running(source: str) -> str:
     )
 
 
+def daily_quotas(gamma_from: str, m: int) -> str:
+    """Day, type, n, gamma, the day's total and s of each type, from a table with day, event_type, n and gamma."""
+    share = f"cast(floor(cast({m} as double) * (gamma / total_gamma) + cast(0.5 as double)) as bigint)"
+    return (
+        f"select *, case when total_gamma = 0 then 0 else {share} end as s from"
+        f" (select *, sum(gamma) over (partition by day) as total_gamma from ({gamma_from}))"
+    )
+
+
+CUMULATIVE = (
+    f"with d as ({daily(DAYS)}), m as (select a.day, a.event_type, count(*) as n, avg(e.value) as mean,"
+    f" stddev_pop(e.value) as sd from d a join {DAYS} e on e.event_type = a.event_type and e.day <= a.day"
+    f" group by a.day, a.event_type), g as (select day, event_type, n, {guarded('mean', 'sd')} as gamma from m)"
+)
+CUMULATIVE_TOTAL = (
+    f"{CUMULATIVE} select day, event_type, n, {r6('gamma', 'total_gamma')}, s from ({daily_quotas('select * from g', 50)})"
+)
+
+
+def daily_sample(m: int, columns: str) -> str:
+    rank = "md5(concat_ws('|', '42', cast(r.event_id as varchar)))"
+    return (
+        f"with a as ({daily_quotas(daily(DAYS), m)}), ranked as (select r.*, a.n, a.s,"
+        f" row_number() over (partition by r.day, r.event_type order by {rank}, r.event_id) as place"
+        f" from {DAYS} r join a using (day, event_type)) select {columns} from ranked where place <= s"
+    )
+
+
 WORDS = (
     "select word, count(*) as n from (select unnest(regexp_split_to_array(lower(text), '\\W+')) as word"
     " from documents) where word <> '' group by word"
@@ -179,11 +208,31 @@ ORACLE: dict[str, str] = {
     " union all"
     " select location, city, country, utc, 'k', k, 'count', latitude, longitude from e where k % 2 = 0",
     "word_count_documents": WORDS,
-    "stream_windowed_stats": f"select day, event_type, n, {r6('mean', 'sd', 'gamma')} from ({daily(CLOSED)})",
+    "strata_stats_drop_words": f"select event_type, n, {r6('mean', 'sd', 'gamma')} from"
+    f" ({stats(GOOD_READINGS, 'event_type', 'reading')})",
+    "cumulative_total_events": CUMULATIVE_TOTAL,
+    "windowed_sample_events": daily_sample(20, "day, event_id, event_type, n, s"),
+    "record_sample": f"{quotas(PRICED, ORDERS[1], 'price', 200)}, rows as (select {ORDER_KEY} as key,"
+    " concat_ws(',', cast(o_orderkey as varchar), cast(o_custkey as varchar), cast(price as varchar)) as payload"
+    f" from {PRICED}),"
+    f" keyed as (select {ORDER_KEY} as key, s from alloc),"
+    " ranked as (select r.key, r.payload, k.s, row_number() over (partition by r.key order by"
+    " md5(concat_ws('|', '42', r.payload)), r.payload) as place from rows r join keyed k using (key))"
+    " select concat_ws(',', key, payload) as value from ranked where place <= s",
+    "row_wire_text": "select concat_ws(';', p_brand, cast(cast(p_size as double) as varchar),"
+    " concat_ws(',', cast(p_partkey as varchar), p_name, cast(p_size as varchar))) as value from part",
+    "stats_wire_text": "select concat_ws(';', cast(p_size as varchar), cast(cast(p_size as double) as varchar), '0.0',"
+    " cast(cast(count(*) as double) as varchar), '0.0', '0.0') as value from part group by p_size",
+    "stream_windowed_stats": f"select day, event_type, n, {r6('mean', 'sd', 'gamma')},"
+    " day < (select max(strftime(ts, '%Y-%m-%d')) from events) as closed"
+    f" from ({daily(DAYS)})",
+    "stream_closed_windows": f"select day, event_type, n, {r6('mean', 'sd', 'gamma')} from ({daily(CLOSED)})",
     "stream_window_gamma": "select day, count(*) as strata, round(sum(gamma), 6) as total_gamma"
-    f" from ({daily(CLOSED)}) group by day",
-    "stream_windowed_total": daily_total(CLOSED),
-    "stream_cumulative": running(CLOSED),
+    f" from ({daily(DAYS)}) group by day",
+    "stream_windowed_total": daily_total(DAYS),
+    "stream_cumulative": running(DAYS),
+    "stream_cumulative_total": CUMULATIVE_TOTAL,
+    "stream_windowed_sample": daily_sample(20, "day, event_id, event_type, s"),
     "stream_rows_with_allocation": f"{quotas(*EVENTS, 50)} select event_id, event_type, n, s"
     " from events join alloc using (event_type)",
     "stream_reservoir": sample(*EVENTS, 50, "event_id", "event_id, event_type, value, s"),

@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varstrata.functions.columns import lenient_double
-from varstrata.operators.allocate import allocation, rows_with_allocation
-from varstrata.operators.sample import first_fill_sample, stratified_sample
+from varstrata.operators.allocate import allocation, rows_with_allocation, with_quota
+from varstrata.operators.sample import (
+    first_fill_sample,
+    sample_allocated,
+    stratified_sample,
+    windowed_sample,
+    with_window,
+)
 from varstrata.operators.stats import (
     cumulative_stats,
     strata_stats,
@@ -19,13 +25,12 @@ from varstrata.operators.stats import (
     with_total,
 )
 from varstrata.operators.words import word_count
-from varstrata.plans.runtime import scratch_path
+from varstrata.plans.runtime import materialize, scratch_path
 from varstrata.sources import delimited, nested, records
-from varstrata.streaming.cumulative import stream_cumulative_stats
-from varstrata.streaming.reservoir import admitted_rows, reservoir_sample, reservoir_to
-from varstrata.streaming.runner import append_to, file_stream, with_event_time
-from varstrata.streaming.windows import totals_to, window_gamma
-from varstrata.streaming.words import counts_to, latest_counts
+from varstrata.streaming.reservoir import admitted_to, reservoir_sample, reservoir_to
+from varstrata.streaming.runner import append_to, table_stream, with_event_time
+from varstrata.streaming.windows import cumulative_to, totals_to, window_gamma, windows_to
+from varstrata.streaming.words import counts_to
 
 # samples rank by md5, which the comparison can recompute
 ORDER_KEYS = ["o_orderpriority", "o_orderstatus"]
@@ -39,9 +44,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def instants(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Times without a zone taken as UTC, whatever the session's zone."""
+    return df.withColumn(ts, F.to_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone()))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # the tables' times have no zone; windows of a day and casts to instants take them as UTC
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -51,8 +59,7 @@ def columns(spark: SparkSession, sf_dir: str, name: str, *names: str) -> DataFra
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = table(spark, sf_dir, name).schema
-    return file_stream(spark, sf_dir, schema, glob=f"{name}.parquet")
+    return table_stream(spark, f"{sf_dir}/{name}.parquet", table(spark, sf_dir, name).schema)
 
 
 def sink(spark: SparkSession) -> dict:
@@ -69,6 +76,7 @@ def rounded(*names: str, decimals: int = 6) -> list:
 
 
 def day() -> list:
+    """The day of a window of times without a zone."""
     return [F.date_format("window.start", "yyyy-MM-dd").alias("day")]
 
 
@@ -363,39 +371,118 @@ def word_count_documents(spark, sf_dir):
     return word_count(table(spark, sf_dir, "documents"))
 
 
+@query
+def strata_stats_drop_words(spark, sf_dir):
+    # words that some parsers take for numbers are as unreadable as others
+    events = table(spark, sf_dir, "events")
+    word = F.element_at(F.array(*map(F.lit, ("inf", "nan", "Infinit", "-inf", ""))), (F.col("event_id") % 5 + 1).cast("int"))
+    text = F.when(F.col("event_id") % 7 == 0, word).otherwise(F.col("value").cast("string"))
+    stats = strata_stats(
+        events.select("event_type", text.alias("reading")), "event_type", "reading", bad_measure="drop"
+    )
+    return stats.select("event_type", "n", *rounded("mean", "sd", "gamma"))
+
+
+@query
+def cumulative_total_events(spark, sf_dir):
+    # running variation of each stratum, its total over the window, and the quotas from both
+    stats = windowed_stats(table(spark, sf_dir, "events"), "event_type", "value", "ts", DAY)
+    totals = with_quota(windowed_total(cumulative_stats(stats, "event_type")), 50)
+    return totals.select(*day(), "event_type", "n", *rounded("gamma", "total_gamma"), "s")
+
+
+@query
+def windowed_sample_events(spark, sf_dir):
+    events = columns(spark, sf_dir, "events", "event_id", "ts", "event_type", "value")
+    sample = windowed_sample(events, "event_type", "value", "ts", DAY, 20, id="event_id", hash="md5", with_quota=True)
+    return sample.select(*day(), "event_id", "event_type", "n", "s")
+
+
+@query
+def record_sample(spark, sf_dir):
+    # the second pass as the stages hand it on: statistics and rows as text records, the sample as text
+    price = F.round("o_totalprice").cast("bigint").alias("price")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", *ORDER_KEYS, price)
+    stats = records.encode_stats(with_total(strata_stats(orders, ORDER_KEYS, "price")), ORDER_KEYS)
+    rows = records.decode_rows(records.encode_rows(delimited.transform_rows(orders, ORDER_KEYS, "price")))
+    alloc = materialize(records.decode_allocation(stats, 200))
+    sample = sample_allocated(rows, alloc, "key", id="payload", hash="md5")
+    return records.encode_sample(sample, "key")
+
+
+@query
+def row_wire_text(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    return records.encode_rows(delimited.transform_rows(parts, "p_brand", "p_size"))
+
+
+@query
+def stats_wire_text(spark, sf_dir):
+    # sizes within a size: whole means, no deviation
+    parts = table(spark, sf_dir, "part").select("p_size", F.col("p_size").alias("size"))
+    return records.encode_stats(with_total(strata_stats(parts, "size", "p_size")), "size")
+
+
 # ---- streams ----------------------------------------------------------------------------------
 
 
 def _daily(spark, sf_dir) -> DataFrame:
-    events = with_event_time(stream(spark, sf_dir, "events"), "ts", "0 seconds")
+    events = with_event_time(instants(stream(spark, sf_dir, "events")), "ts", "0 seconds")
     return windowed_stats(events, "event_type", "value", "ts", DAY)
 
 
+def utc_day() -> list:
+    start = F.from_utc_timestamp("window.start", F.current_timezone())
+    return [F.date_format(start, "yyyy-MM-dd").alias("day")]
+
+
 @query
 def stream_windowed_stats(spark, sf_dir):
-    stats = append_to(_daily(spark, sf_dir), **sink(spark))
-    return stats.select(*day(), "event_type", "n", *rounded("mean", "sd", "gamma"))
+    stats = windows_to(_daily(spark, sf_dir), "event_type", **sink(spark))
+    return stats.select(*utc_day(), "event_type", "n", *rounded("mean", "sd", "gamma"), "closed")
+
+
+@query
+def stream_closed_windows(spark, sf_dir):
+    stats = windows_to(_daily(spark, sf_dir), "event_type", closed_only=True, **sink(spark))
+    return stats.select(*utc_day(), "event_type", "n", *rounded("mean", "sd", "gamma"))
 
 
 @query
 def stream_window_gamma(spark, sf_dir):
-    totals = append_to(window_gamma(_daily(spark, sf_dir), DAY), **sink(spark))
-    return totals.select(*day(), "strata", *rounded("total_gamma"))
+    totals = window_gamma(windows_to(_daily(spark, sf_dir), "event_type", **sink(spark)))
+    return totals.select(*utc_day(), "strata", *rounded("total_gamma"))
 
 
 @query
 def stream_windowed_total(spark, sf_dir):
-    stats = totals_to(_daily(spark, sf_dir), **sink(spark))
-    return stats.select(*day(), "event_type", *rounded("gamma", "total_gamma"))
+    stats = totals_to(_daily(spark, sf_dir), keys="event_type", **sink(spark))
+    return stats.select(*utc_day(), "event_type", *rounded("gamma", "total_gamma"))
 
 
 @query
 def stream_cumulative(spark, sf_dir):
-    running = append_to(stream_cumulative_stats(_daily(spark, sf_dir), "event_type"), **sink(spark))
-    return running.select(
-        F.date_format("window_start", "yyyy-MM-dd").alias("day"),
-        "event_type", "n", *rounded("mean", "sd", "gamma"),
+    running = cumulative_to(_daily(spark, sf_dir), "event_type", **sink(spark))
+    return running.select(*utc_day(), "event_type", "n", *rounded("mean", "sd", "gamma"))
+
+
+@query
+def stream_cumulative_total(spark, sf_dir):
+    running = cumulative_to(_daily(spark, sf_dir), "event_type", **sink(spark))
+    totals = with_quota(windowed_total(running), 50)
+    return totals.select(*utc_day(), "event_type", "n", *rounded("gamma", "total_gamma"), "s")
+
+
+@query
+def stream_windowed_sample(spark, sf_dir):
+    # both passes on streams: the first one's windows give the second one's quotas
+    stats = windows_to(_daily(spark, sf_dir), "event_type", **sink(spark))
+    alloc = materialize(with_quota(windowed_total(stats), 20).select("window", "event_type", "n", "s"))
+    events = with_window(instants(stream(spark, sf_dir, "events")), "ts", DAY)
+    sample = reservoir_to(
+        events, alloc, ["window", "event_type"], id="event_id", hash="md5", with_quota=True, **sink(spark)
     )
+    return sample.select(*utc_day(), "event_id", "event_type", "s")
 
 
 @query
@@ -408,8 +495,8 @@ def stream_rows_with_allocation(spark, sf_dir):
 @query
 def stream_reservoir(spark, sf_dir):
     alloc = allocation(table(spark, sf_dir, "events"), "event_type", "value", 50)
-    admitted = append_to(
-        admitted_rows(stream(spark, sf_dir, "events"), alloc, "event_type", id="event_id", hash="md5"), **sink(spark)
+    admitted = admitted_to(
+        stream(spark, sf_dir, "events"), alloc, "event_type", id="event_id", hash="md5", **sink(spark)
     )
     sample = reservoir_sample(admitted, alloc, "event_type", id="event_id", hash="md5", with_quota=True)
     return sample.select("event_id", "event_type", "value", "s")
@@ -425,4 +512,4 @@ def stream_reservoir_table(spark, sf_dir):
 
 @query
 def stream_word_count(spark, sf_dir):
-    return latest_counts(counts_to(stream(spark, sf_dir, "documents"), **sink(spark)))
+    return counts_to(stream(spark, sf_dir, "documents"), **sink(spark))

@@ -43,16 +43,20 @@ def read_delimited(
 def read_lines(spark: SparkSession, path: str, *, header: bool = True) -> DataFrame:
     """Read text files as whole lines in column ``value``, dropping each file's header line.
 
-    Goes through the delimited reader with a separator that text does not hold, as only that one
-    knows where files begin.
+    Goes through the delimited reader, as only that one knows where files begin. A line that holds its separator has
+    more fields than the schema, and then comes whole in the column for such lines. Lines of blanks and control
+    characters only are left out.
     """
-    return (
-        spark.read.schema("value string")
+    rows = (
+        spark.read.schema("value string, __whole string")
         .option("header", header)
         .option("sep", "\u0001")
         .option("quote", "")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "__whole")
         .csv(path)
     )
+    return rows.select(F.coalesce("__whole", "value").alias("value"))
 
 
 def split_lines(lines: DataFrame, columns: str | Sequence[str], value: str = "value") -> DataFrame:

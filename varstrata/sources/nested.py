@@ -15,15 +15,40 @@ results array<struct<
 """
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Read JSON files of one document each; files are read in parallel, a file by one task."""
-    return spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
+BAD = "__bad"
 
 
-def parse_documents(df: DataFrame, text: str = "value") -> DataFrame:
-    """Documents from a text column, such as one document per line or per message."""
-    parsed = df.select(F.from_json(F.col(text), DOCUMENT).alias("document"))
-    return parsed.select("document.results")
+def read_documents(spark: SparkSession, path: str, *, bad: str = "fail") -> DataFrame:
+    """Read JSON files of one document each; files are read in parallel, a file by one task.
+
+    ``bad``: ``"fail"`` raises an error for a document that cannot be read, ``"keep"`` puts its text in the column ``bad``,
+    which is null for the others, ``"drop"`` leaves it out.
+    """
+    if _way(bad) == "keep":
+        return parse_documents(spark.read.option("wholetext", True).text(path), bad="keep")
+    mode = "FAILFAST" if bad == "fail" else "DROPMALFORMED"
+    return spark.read.schema(DOCUMENT).option("multiLine", True).option("mode", mode).json(path)
+
+
+def parse_documents(df: DataFrame, text: str = "value", *, bad: str = "fail") -> DataFrame:
+    """Documents from a text column, such as one document per line or per message; ``bad`` as in :func:`read_documents`.
+
+    A null text is no document and gives no row.
+    """
+    there = df.filter(F.col(text).isNotNull())
+    if _way(bad) == "fail":
+        return there.select(F.from_json(F.col(text), DOCUMENT, {"mode": "FAILFAST"}).alias("document")).select("document.results")
+    parsed = there.select(
+        F.from_json(F.col(text), f"{DOCUMENT}, {BAD} string", {"columnNameOfCorruptRecord": BAD}).alias("document")
+    )
+    rows = parsed.select("document.results", F.col(f"document.{BAD}").alias("bad"))
+    return rows if bad == "keep" else rows.filter("bad is null").drop("bad")
+
+
+def _way(bad: str) -> str:
+    if bad not in ("fail", "keep", "drop"):
+        raise ValueError("bad must be 'fail', 'keep' or 'drop'")
+    return bad
 
 
 def flatten_measurements(documents: DataFrame) -> DataFrame:

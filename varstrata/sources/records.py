@@ -65,13 +65,17 @@ def _field(value: str, i: int) -> Column:
     return F.get(F.split(col(value), ";", -1), i)
 
 
+# fixed values: the wording of reports
+MEAN, DEVIATION, QUOTA = "Mean= ", "Standard deviation= ", "si= "
+
+
 def mean_report(stats: DataFrame, keys: str | Sequence[str], *, decimals: int | None = None) -> DataFrame:
     """One line per stratum for people to read: mean and standard deviation."""
     names = resolve(stats.columns, keys)
     return stats.select(
         stratum_label(names).alias("key"),
-        F.concat(F.lit("Mean= "), _shown("mean", decimals)).alias("mean"),
-        F.concat(F.lit("Standard deviation= "), _shown("sd", decimals)).alias("sd"),
+        F.concat(F.lit(MEAN), _shown("mean", decimals)).alias("mean"),
+        F.concat(F.lit(DEVIATION), _shown("sd", decimals)).alias("sd"),
     )
 
 
@@ -79,7 +83,7 @@ def quota_report(alloc: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """One line per stratum for people to read: rows to draw."""
     names = resolve(alloc.columns, keys)
     return alloc.select(
-        stratum_label(names).alias("key"), F.concat(F.lit("si= "), F.col("s").cast("string")).alias("si")
+        stratum_label(names).alias("key"), F.concat(F.lit(QUOTA), F.col("s").cast("string")).alias("si")
     )
 
 

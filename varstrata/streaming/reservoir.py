@@ -1,142 +1,76 @@
 """Reservoirs over a stream: the rows of lowest random rank in every stratum so far.
 
-Two forms with the same result. :func:`reservoir_to` merges each micro-batch into a table with the
-batch operators; it stays in the JVM, trims rows before it shuffles them, and suits large volumes.
-:func:`admitted_rows` keeps ranks in keyed state and gives out rows as they are admitted; it suits
-consumers that want each row at once.
+:func:`reservoir_to` keeps the reservoirs' rows in a table, :func:`admitted_to` also keeps each row ever admitted, for consumers
+that want rows as they come. Both draw from each micro-batch with the batch operators and merge what is drawn with the rows
+held, so no more than twice the quotas is ever ranked; rows stay in Spark's own columns.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
-from typing import Any
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from varstrata.functions import ranks
 from varstrata.functions.columns import as_names, col, resolve
-from varstrata.operators.allocate import (
-    BROADCAST_BYTES,
-    attach,
-    measure_bounds,
-    rows_with_allocation,
-    stratum_key,
-)
+from varstrata.operators.allocate import BROADCAST_BYTES, measure_bounds, stratum_key
 from varstrata.operators.lowest import ROWS_PER_TASK, keep_lowest
-from varstrata.operators.sample import GROUP, QUOTA, RANK, sample_allocated
-from varstrata.streaming.runner import run_batches
+from varstrata.operators.sample import GROUP, QUOTA, RANK, draw_rows, sample_allocated
+from varstrata.plans.runtime import materialize
+from varstrata.streaming.runner import read_batches, run_batches, table_at
 
-# the processor travels with the job, so executors need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-class Reservoir(StatefulProcessor):
-    """Keeps the ``s`` lowest ranks of a part of a stratum and gives out each row it admits.
-
-    A row is admitted with probability s/t as the t-th row. What is admitted may be displaced by
-    later rows; those are told apart afterwards by rank, so nothing is ever taken back.
-    """
-
-    def __init__(self, columns: Sequence[str], ttl_ms: int | None):
-        self.columns = list(columns)
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lowest = handle.getListState("lowest", "rank string", self.ttl_ms)
-
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        held = [item[0] for item in self.lowest.get()] if self.lowest.exists() else []
-        admitted = None
-        for frame in rows:
-            s = int(frame["quota"].iloc[0])
-            if len(held) >= s:
-                frame = frame[frame["rank"] < max(held)]
-            frame = frame if admitted is None else pd.concat([admitted, frame])
-            admitted = frame.sort_values("rank", kind="stable").head(s)
-        if admitted is None or admitted.empty:
-            return
-        tagged = [(rank, 0) for rank in held] + [(rank, 1) for rank in admitted["rank"]]
-        kept = sorted(tagged)[:s]
-        fresh = sum(new for _, new in kept)
-        if fresh:
-            self.lowest.put([(rank,) for rank, _ in kept])
-            yield admitted.head(fresh)[self.columns].reset_index(drop=True)
-
-    def close(self) -> None:
-        pass
-
-
-def admitted_rows(
-    stream: DataFrame,
+def reservoir_sample(
+    admitted: DataFrame,
     alloc: DataFrame,
     keys: str | Sequence[str],
     *,
     id: str | Sequence[str],
     seed: int = 42,
     hash: str = "xxhash64",
-    salts: int = 8,
-    ttl_ms: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    with_quota: bool = False,
 ) -> DataFrame:
-    """The rows of ``stream`` that enter their stratum's reservoir, append-only.
+    """The reservoirs' content from the table of admitted rows: the lowest ranks per stratum.
 
-    ``alloc`` holds the quotas of the first pass. Every stratum is cut into ``salts`` independent
-    reservoirs, so a hot one is spread over that many tasks; state holds ranks only, at most ``s``
-    per part. About ``s * (1 + ln(n / s))`` rows per part come out.
+    At the end of the stream this is the batch sample with the same seed.
     """
-    key_names = resolve(stream.columns, keys)
-    ids = resolve(stream.columns, as_names(id))
-    wanted = alloc.filter(F.col("s") > 0)
-    if hash == "md5":
-        rank = ranks.rank(ids, seed, hash)
-    else:
-        # as text that sorts like the number
-        flipped = ranks.rank(ids, seed, hash).bitwiseXOR(F.lit(-(2**63)))
-        rank = F.lpad(F.hex(flipped), 16, "0")
-    joined = rows_with_allocation(stream, wanted, key_names, columns=("s",), broadcast_bytes=broadcast_bytes)
-    # plain names: the Python side replaces column names that are not identifiers
-    names = [f"c{i}" for i in range(len(stream.columns))]
-    parted = joined.select(
-        *[col(c).alias(name) for c, name in zip(stream.columns, names, strict=True)],
-        F.col("s").alias("quota"),
-        rank.alias("rank"),
-    ).withColumn("part", F.pmod(F.xxhash64("rank"), F.lit(salts)))
-    groups = [names[stream.columns.index(k)] for k in key_names]
-    out = T.StructType(
-        [T.StructField(name, f.dataType) for name, f in zip(names, stream.schema.fields, strict=True)]
-    )
-    admitted = parted.groupBy(*groups, "part").transformWithStateInPandas(
-        Reservoir(names, ttl_ms), out, "Append", "None"
-    )
-    return admitted.toDF(*stream.columns)
+    return sample_allocated(admitted, alloc, keys, id=id, seed=seed, hash=hash, with_quota=with_quota)
 
 
-def reservoir_sample(
-    admitted: DataFrame,
+def reservoir_to(
+    stream: DataFrame,
     alloc: DataFrame,
     keys: str | Sequence[str],
+    path: str,
+    checkpoint: str,
     *,
     id: str | Sequence[str],
     seed: int = 42,
     hash: str = "xxhash64",
     with_quota: bool = False,
+    partitions: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """The reservoirs' content from the table of admitted rows: the lowest ranks per stratum.
+    """Process what is there into reservoirs in a table at ``path``; return the reservoirs' rows.
 
-    At the end of the stream this is the batch sample with the same seed.
+    The table has two slots, written in turn, so that a repeated micro-batch finds its predecessor whole.
     """
-    return sample_allocated(admitted, alloc, keys, id=id, seed=seed, hash=hash, with_quota=with_quota)
+    spark = stream.sparkSession
+    schema = _keep(
+        stream, alloc, keys, path, checkpoint, None, id=id, seed=seed, hash=hash, partitions=partitions,
+        broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task,
+    )
+    slots = table_at(spark, path, schema)
+    last = slots.agg(F.max("__batch").alias("last")).first().last
+    sample = slots.filter(F.col("__batch") == F.lit(last))
+    kept = [col(c) for c in stream.columns]
+    return sample.select(*kept, *([F.col(QUOTA).alias("s")] if with_quota else []))
 
 
-def reservoir_to(
+def admitted_to(
     stream: DataFrame,
     alloc: DataFrame,
     keys: str | Sequence[str],
@@ -146,22 +80,34 @@ def reservoir_to(
     id: str | Sequence[str],
     seed: int = 42,
     hash: str = "xxhash64",
-    with_quota: bool = False,
     partitions: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Process what is there into reservoirs in a table at ``path``; return the reservoirs' rows.
+    """The rows of ``stream`` that entered their stratum's reservoir, append-only, with their ``batch_id``.
 
-    A full reservoir's highest rank is a cut-off: rows above it are dropped as they are read. The
-    table has two slots, written in turn, so that a repeated micro-batch finds its predecessor whole.
+    What was admitted may be displaced by later rows; :func:`reservoir_sample` tells those apart by rank, so nothing is ever
+    taken back. The reservoirs are kept beside the rows, under ``path``.
     """
-    spark = stream.sparkSession
+    _keep(
+        stream, alloc, keys, f"{path}/held", checkpoint, f"{path}/admitted", id=id, seed=seed, hash=hash,
+        partitions=partitions, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task,
+    )
+    return read_batches(stream.sparkSession, f"{path}/admitted", stream.schema)
+
+
+def _keep(
+    stream: DataFrame, alloc: DataFrame, keys, held_path: str, checkpoint: str, admitted_path: str | None, *,
+    id, seed: int, hash: str, partitions: int | None, broadcast_bytes: int, rows_per_task: int,
+) -> T.StructType:
+    """Run the stream into the two slots at ``held_path``; return their schema."""
     key_names = resolve(stream.columns, keys)
     ids = resolve(stream.columns, as_names(id))
+    alloc_keys = resolve(alloc.columns, key_names)
     wanted = alloc.filter(F.col("s") > 0)
-    bounds = measure_bounds(wanted, resolve(alloc.columns, key_names))
-    small = bounds.all_bytes() <= broadcast_bytes
+    bounds = measure_bounds(wanted, alloc_keys)
+    side = wanted.select(stratum_key(alloc_keys).alias("__of"), F.col("s").alias("__of_s"))
+    side = F.broadcast(side) if bounds.all_bytes() <= broadcast_bytes else side.hint("merge")
     order = [F.col(RANK), *[col(i) for i in ids]]
     rank_type = T.StringType() if hash == "md5" else T.LongType()
     schema = T.StructType(
@@ -175,36 +121,29 @@ def reservoir_to(
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = (
-            attach(batch, wanted, key_names, ("s",), broadcast=small)
-            .withColumnRenamed("s", QUOTA)
-            .withColumn(GROUP, stratum_key(key_names))
-            .withColumn(RANK, ranks.rank(ids, seed, hash))
+        # the quotas with this batch's own counts: a cut-off for each stratum, and sizes that are checked
+        counts = batch.groupBy(*[col(k) for k in key_names]).agg(F.count(F.lit(1)).alias("n"))
+        own = counts.join(side, stratum_key(key_names) == F.col("__of")).select(
+            *[col(k) for k in key_names], "n", F.col("__of_s").alias("s")
+        )
+        own = materialize(own)
+        fresh = draw_rows(
+            batch, own, key_names, id=ids, seed=seed, hash=hash, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task
         )
+        rows = fresh.select(*[col(c) for c in stream.columns], GROUP, QUOTA, RANK, F.lit(True).alias("__fresh"))
         if batch_id > 0:
-            held = batch.sparkSession.read.schema(schema).parquet(f"{path}/slot={(batch_id - 1) % 2}").drop("__batch")
-            full = (
-                held.groupBy(GROUP)
-                .agg(F.max(RANK).alias("__highest"), F.count(F.lit(1)).alias("__held"), F.max(QUOTA).alias("__of"))
-                .filter(F.col("__held") >= F.col("__of"))
-                .select(F.col(GROUP).alias("__full"), "__highest")
-            )
-            full = F.broadcast(full) if small else full
-            rows = (
-                rows.join(full, F.col(GROUP) == F.col("__full"), "left")
-                .filter(F.col("__highest").isNull() | (F.col(RANK) < F.col("__highest")))
-                .drop("__full", "__highest")
-                .unionByName(held)
-            )
+            held = table_at(batch.sparkSession, f"{held_path}/slot={(batch_id - 1) % 2}", schema).drop("__batch")
+            rows = rows.unionByName(held.withColumn("__fresh", F.lit(False)))
         kept = keep_lowest(
-            rows, GROUP, order, QUOTA, bounds.largest_quota, bounds.rows, rows_per_task=rows_per_task
+            rows, GROUP, order, QUOTA, bounds.largest_quota, 2 * bounds.quota_rows, largest_group=2 * bounds.largest_quota,
+            rows_per_task=rows_per_task,
         )
+        if admitted_path is not None:
+            kept = materialize(kept)
+            new = kept.filter("__fresh").select(*[col(c) for c in stream.columns])
+            new.write.mode("overwrite").parquet(f"{admitted_path}/batch_id={batch_id}")
         kept = kept.withColumn("__batch", F.lit(batch_id).cast("bigint"))
-        kept.select(*schema.names).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+        kept.select(*schema.names).write.mode("overwrite").parquet(f"{held_path}/slot={batch_id % 2}")
 
     run_batches(stream, merge, checkpoint, mode="append", partitions=partitions)
-    slots = spark.read.schema(schema).parquet(path)
-    last = slots.agg(F.max("__batch").alias("last")).first().last
-    sample = slots.filter(F.col("__batch") == F.lit(last))
-    kept = [col(c) for c in stream.columns]
-    return sample.select(*kept, *([F.col(QUOTA).alias("s")] if with_quota else []))
+    return schema

@@ -28,6 +28,24 @@ def file_stream(
     return reader.load(path)
 
 
+def table_stream(spark: SparkSession, path: str, schema, **options) -> DataFrame:
+    """A Parquet table as a stream, be it one file or a folder of part files."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getFileStatus(place).isDirectory():
+        return file_stream(spark, path, schema, **options)
+    return file_stream(spark, path.rsplit("/", 1)[0], schema, glob=path.rsplit("/", 1)[1], **options)
+
+
+def table_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path``; an empty frame if a stream without any rows has not made one."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def with_event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
     """Cast ``ts`` to an instant, as watermarks need, and set the watermark."""
     return df.withColumn(ts, col(ts).cast("timestamp")).withWatermark(ts, delay)
@@ -47,10 +65,11 @@ def start(writer: DataStreamWriter, spark: SparkSession, partitions: int | None
         return writer.start()
 
 
-def _finish(query: StreamingQuery) -> None:
+def _finish(query: StreamingQuery) -> StreamingQuery:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    return query
 
 
 def append_to(
@@ -69,7 +88,7 @@ def append_to(
         .trigger(availableNow=True)
     )
     _finish(start(writer, spark, partitions))
-    return spark.read.schema(stream.schema).parquet(path)
+    return table_at(spark, path, stream.schema)
 
 
 def run_batches(
@@ -79,15 +98,15 @@ def run_batches(
     *,
     mode: str,
     partitions: int | None = None,
-) -> None:
-    """Process what is there, handing each micro-batch and its number to ``write``."""
+) -> StreamingQuery:
+    """Process what is there, handing each micro-batch and its number to ``write``; return the ended query."""
     writer = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    _finish(start(writer, stream.sparkSession, partitions))
+    return _finish(start(writer, stream.sparkSession, partitions))
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -98,7 +117,7 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table of all micro-batches, with the extra column ``batch_id``."""
     fields = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(fields).parquet(path)
+    return table_at(spark, path, fields)
 
 
 def batches_to(
