@@ -12,6 +12,7 @@ from varstrata.llm.bpe import bpe_decode, bpe_encode
 from varstrata.llm.linededup import line_dedup
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
+from varstrata.llm.oracle import EMBEDDING_NEAR_DEDUP, EXACT_TOP_K, NEAR_DEDUP, SUFFIX_DEDUP
 from varstrata.llm.pii import KINDS, find_pii, pii_model
 from varstrata.llm.quantised import embedding_near_duplicates
 from varstrata.llm.secrets import secret_model, secret_scan
@@ -120,3 +121,9 @@ def op4_pii(spark, sf_dir):
         "doc_id", *counts, F.sha2(F.encode(_joined("base"), "utf-8"), 256).alias("base_sha256"), _joined("spans").alias("spans"),
         (F.size("spans") - F.size("base")).cast("bigint").alias("n_added"),
     )
+
+
+LLM_ORACLE.update(
+    op2_suffix_dedup=SUFFIX_DEDUP, op7_embedding_near_dedup=EMBEDDING_NEAR_DEDUP, op9_exact_top_k=EXACT_TOP_K,
+    op10_minmax_near_dedup=NEAR_DEDUP,
+)
