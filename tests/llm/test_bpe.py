@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 tokenizers = pytest.importorskip("tokenizers")
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -52,6 +53,8 @@ def test_frame(spark, library):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     out = bpe_decode(bpe_encode(docs, PATH), PATH).collect()
     assert len(out) == len(rows)
+    one_pass = bpe_encode(docs.withColumnRenamed("ids", "decoded"), PATH, decoded=True)
+    assert sorted(map(str, one_pass.select("ids", "n_tokens", "decoded").collect())) == sorted(str(Row(ids=r.ids, n_tokens=r.n_tokens, decoded=r.decoded)) for r in out)
     for row in out:
         ids, decoded = expected(library, row.text or "")
         assert np.frombuffer(row.ids, "<u4").tolist() == ids and row.n_tokens == len(ids)

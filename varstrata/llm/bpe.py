@@ -19,8 +19,8 @@ PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 WORD_END = "</w>"
 
-TEXT_CHARS = 2_000_000  # characters handled at once; a longer text is handled alone
-CACHED_PIECES = 200_000
+TEXT_CHARS = 1_000_000  # characters handled at once; a longer text is handled alone
+CACHED_PIECES = 100_000
 _NEVER = np.iinfo(np.int64).max
 
 
@@ -156,18 +156,19 @@ def _coder(content: str) -> WordBpe:
     return _held[hash(content)]
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """Adds ids (binary, little-endian unsigned 32-bit numbers) and n_tokens.
+def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """Adds ids (binary, little-endian unsigned 32-bit numbers) and n_tokens; with ``decoded`` also what ``bpe_decode`` makes of
+    the ids, in the same pass and the same worker process.
 
     vocabulary: a vocabulary file in the JSON format of the tokenizers library, with word ends. The driver reads it
     (a few MB, of fixed size) and sends it out once. Texts are cut into words; the words of many texts that are new to a
     task are merged together: in each round every word's lowest-rank pair, found by binary search over the sorted pair keys.
 
     Null and empty texts have no ids (empty binary, 0); text that looks like a special token is encoded as that token, as
-    the library does. Whole texts are encoded; a task holds about 2 million characters, or one longer text, at a time.
-    Rows are handled one by one, so repeated rows and null ids need no rule; columns named ids and n_tokens are replaced, others carried along.
+    the library does. Whole texts are encoded; a task holds about a million characters, or one longer text, at a time.
+    Rows are handled one by one, so repeated rows and null ids need no rule; columns named ids and n_tokens (and decoded) are replaced, others carried along.
     """
-    docs = docs.drop("ids", "n_tokens")
+    docs = docs.drop("ids", "n_tokens", *(["decoded"] if decoded else []))
     spec = docs.sparkSession.sparkContext.broadcast(_content(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,13 +180,14 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
                 rows = batch.slice(done, len(part))
                 done += len(part)
                 packed = coder.encode(part)
+                back = [pa.array(map(coder.decode, packed), pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())],
-                    names=[*rows.schema.names, "ids", "n_tokens"],
+                    [*rows.columns, pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64()), *back],
+                    names=[*rows.schema.names, "ids", "n_tokens", *(["decoded"] if decoded else [])],
                 )
 
-    schema = docs.selectExpr("*", "cast('' as binary) ids", "cast(0 as bigint) n_tokens").schema
-    return docs.mapInArrow(run, schema)
+    added = ["cast('' as binary) ids", "cast(0 as bigint) n_tokens", *(["'' decoded"] if decoded else [])]
+    return docs.mapInArrow(run, docs.selectExpr("*", *added).schema)
 
 
 def bpe_decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:

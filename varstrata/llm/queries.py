@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varstrata.llm.bpe import bpe_decode, bpe_encode
+from varstrata.llm.bpe import bpe_encode
 from varstrata.llm.linededup import line_dedup
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
@@ -53,8 +53,7 @@ def op8_mix_sources(spark, sf_dir):
 @query
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe_decode(bpe_encode(docs, VOCABULARY).select("doc_id", "n_tokens", "ids"), VOCABULARY)
-    return coded.select(
+    return bpe_encode(docs, VOCABULARY, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
     )
