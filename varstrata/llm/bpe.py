@@ -13,6 +13,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from varstrata.llm.groups import text_parts
+
 # fixed values of the vocabulary's format: white space, pieces, and the characters that stand for bytes
 SPACE = r"\t-\r \x85\xa0  -     　"
 PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
@@ -128,18 +130,6 @@ class WordBpe:
         return " ".join(map(self.names.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for text in texts:
-        if part and size + len(text) > TEXT_CHARS:
-            yield part
-            part, size = [], 0
-        part.append(text)
-        size += len(text)
-    if part:
-        yield part
-
-
 def _content(vocabulary: str) -> str:
     with open(vocabulary, encoding="utf-8") as file:
         return file.read()
@@ -174,11 +164,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", decoded: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(spec.value)
         for batch in batches:
-            done = 0
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            for part in _slices(texts):
-                rows = batch.slice(done, len(part))
-                done += len(part)
+            for rows, part in text_parts(batch, text, TEXT_CHARS):
                 packed = coder.encode(part)
                 back = [pa.array(map(coder.decode, packed), pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays(

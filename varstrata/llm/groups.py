@@ -1,4 +1,4 @@
-"""Groups of neighbouring rows in a partition sorted by group."""
+"""Parts of record batches: groups of neighbouring rows, and texts of a bounded size together."""
 
 from __future__ import annotations
 
@@ -31,3 +31,20 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
     """Lists of equal length as the rows of a matrix."""
     return column.combine_chunks().flatten().to_numpy().reshape(len(column), -1)
+
+
+ROWS = 256  # whose texts are held as Python objects at once, at most
+
+
+def text_parts(batch: pa.RecordBatch, column: str | int, size: int, none: str | bytes = "") -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of a batch with their texts, about ``size`` characters (or bytes) together, a longer text alone; ``none`` for null."""
+    for low in range(0, batch.num_rows, ROWS):
+        rows = batch.slice(low, ROWS)
+        texts = [none if t is None else t for t in rows.column(column).to_pylist()]
+        first, total = 0, 0
+        for i, text in enumerate(texts):
+            if i > first and total + len(text) > size:
+                yield rows.slice(first, i - first), texts[first:i]
+                first, total = i, 0
+            total += len(text)
+        yield rows.slice(first), texts[first:]

@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varstrata.llm.anchors import scramble
 from varstrata.llm.components import components
+from varstrata.llm.groups import text_parts
 from varstrata.plans.runtime import written
 
 WORDS = 5
@@ -25,12 +27,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _scramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
 @functools.cache
 def _numbers(seed: int, n: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -53,13 +49,13 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
     # a word's hash is a polynomial of its bytes: differences of running sums, shifted to a common power from the end
     starts = np.flatnonzero(~space & np.append(True, space[:-1]))
     ends = np.flatnonzero(space & np.append(False, ~space[:-1]))
-    letters = _scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[raw]
+    letters = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[raw]
     position = np.arange(len(raw), dtype=np.int64) - np.repeat(starts, ends - starts)[np.cumsum(~space) - 1] if len(starts) else starts
     if len(starts):
         powers = _powers(int((ends - starts).max()) + 1)
         position[space] = 0
         sums = np.append(np.uint64(0), np.cumsum(np.where(space, np.uint64(0), letters * powers[position]), dtype=np.uint64))
-        hashes = _scramble(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
+        hashes = scramble(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
     else:
         hashes = np.zeros(0, np.uint64)
     limits = np.append(0, np.cumsum(sizes + 1))
@@ -70,7 +66,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np
     total = np.zeros(len(hashes), np.uint64)
     for k in range(words):
         has = left > k
-        total[has] = _scramble(total[has] + hashes[np.flatnonzero(has) + k] * _numbers(4, words)[k])
+        total[has] = scramble(total[has] + hashes[np.flatnonzero(has) + k] * _numbers(4, words)[k])
     begins = (left >= words) | ((np.repeat(counts, counts) < words) & (left == np.repeat(counts, counts)))
     total, text_of = total[begins], text_of[begins]
     order = np.lexsort((total, text_of))
@@ -97,42 +93,28 @@ def band_keys(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
     bands = signatures.shape[1] // rows
     keys = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[None, :], len(signatures), 0)
     for r in range(rows):
-        keys = _scramble(keys * np.uint64(0x9E3779B97F4A7C15) + signatures[:, r : bands * rows : rows])
+        keys = scramble(keys * np.uint64(0x9E3779B97F4A7C15) + signatures[:, r : bands * rows : rows])
     return keys.view(np.int64)
 
 
-def _parts(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts of a column as bytes, about BYTES_AT_ONCE at a time, with the row of the first."""
-    part, size, first = [], 0, 0
-    for i in range(len(column)):
-        text = column[i].as_py() or b""
-        if part and size + len(text) > BYTES_AT_ONCE:
-            yield first, part
-            part, size, first = [], 0, i
-        part.append(text)
-        size += len(text)
-    if part:
-        yield first, part
-
-
 def signatures(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, set_hash, bands) of each row; empty sets have no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in _parts(batch.column(1)):
+            for part, texts in text_parts(batch, 1, BYTES_AT_ONCE, b""):
                 flat, bounds = shingle_sets(texts, words)
                 counts = np.diff(bounds)
                 set_hash = np.empty((len(texts), 2), np.uint64)
                 for k in (0, 1):
-                    sums = np.append(np.uint64(0), np.cumsum(_scramble(flat ^ _numbers(5, 2)[k]), dtype=np.uint64))
+                    sums = np.append(np.uint64(0), np.cumsum(scramble(flat ^ _numbers(5, 2)[k]), dtype=np.uint64))
                     set_hash[:, k] = sums[bounds[1:]] - sums[bounds[:-1]]
                 hashes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(texts), [None, pa.py_buffer(set_hash.tobytes())])
                 keys = band_keys(min_max(flat, bounds, permutations), rows)
                 lengths = np.where(counts > 0, keys.shape[1], 0)
                 bands = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(keys.ravel(), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(counts, pa.int64()), hashes.cast(pa.binary()), bands],
+                    [part.column(0), pa.array(counts, pa.int64()), hashes.cast(pa.binary()), bands],
                     names=["id", "n_shingles", "set_hash", "bands"],
                 )
 

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varstrata.llm.groups import text_parts
+
 ORDER = 3  # characters of a subsequence
 DECAY = 0.5  # for each character that a subsequence spans
 SHARPNESS = 4  # the power of the kernel of two words: a power of a kernel is a kernel
@@ -259,21 +261,6 @@ def choose_landmarks(counted: list[tuple[str, int, int]], toxic: int, clean: int
     return [names[i] for i in chosen]
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[str]]]:
-    """Texts of about TEXT_CHARS characters at a time, null as empty, with the row of the first."""
-    part, size, first = [], 0, 0
-    values = batch.column(column)
-    for i in range(batch.num_rows):
-        value = values[i].as_py() or ""
-        if part and size + len(value) > TEXT_CHARS:
-            yield first, part
-            part, size, first = [], 0, i
-        part.append(value)
-        size += len(value)
-    if part:
-        yield first, part
-
-
 def _stems(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,9 +313,9 @@ def toxicity_model(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in _texts(batch, "text"):
+            for part, texts in text_parts(batch, "text", TEXT_CHARS):
                 sums = _summer(names).sums(texts)
-                yield pa.RecordBatch.from_arrays([batch.column("y").slice(first, len(texts)), pa.array(list(sums), pa.list_(pa.float32()))], names=["y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(list(sums), pa.list_(pa.float32()))], names=["y", "x"])
 
     features = rows.mapInArrow(run, "y int, x array<float>").toPandas()  # at most training_rows rows of numbers
     x, y = np.vstack(features["x"].to_numpy()), (features["y"].to_numpy() == 1).astype(int)
@@ -356,8 +343,7 @@ def toxicity_scores(docs: DataFrame, model: Model | float, text: str = "text") -
         model = held.value
         summer = _summer(model.landmarks)
         for batch in batches:
-            for first, texts in _texts(batch, text):
-                part = batch.slice(first, len(texts))
+            for part, texts in text_parts(batch, text, TEXT_CHARS):
                 scores = model.score(summer.sums(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*part.schema.names, "score"])
 
