@@ -232,3 +232,16 @@ def test_session_settings_are_put_back(spark, stream, sink):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     counts_to(stream, **sink)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_queries_do_not_depend_on_the_sessions_zone(spark):
+    from varstrata.plans import queries
+    from varstrata.plans.runtime import settings
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    for name in ("windowed_total_events", "windowed_sample_events", "stream_windowed_total", "stream_windowed_sample"):
+        want = sorted(map(str, queries.QUERIES[name](spark, sf).collect()))
+        with settings(spark, spark__sql__session__timeZone="Asia/Tokyo"):
+            assert sorted(map(str, queries.QUERIES[name](spark, sf).collect())) == want, name

@@ -46,7 +46,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 def instants(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Times without a zone taken as UTC, whatever the session's zone."""
-    return df.withColumn(ts, F.to_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone()))
+    return df.withColumn(ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone()))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -432,7 +432,7 @@ def _daily(spark, sf_dir) -> DataFrame:
 
 
 def utc_day() -> list:
-    start = F.from_utc_timestamp("window.start", F.current_timezone())
+    start = F.to_utc_timestamp("window.start", F.current_timezone())
     return [F.date_format(start, "yyyy-MM-dd").alias("day")]
 
 
