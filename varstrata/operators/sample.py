@@ -130,7 +130,7 @@ def draw_rows(
     drawn = materialize(draw(candidates, bounds.candidates, bounds.largest_group))
     # stratum by stratum: one with more rows than its count says must not make up for one with fewer
     got = drawn.groupBy(GROUP).agg(F.count(F.lit(1)).alias("__got"))
-    short = materialize(
+    short = (
         quotas.filter(F.col(QUOTA) > 0)
         .join(got, F.col(OF) == F.col(GROUP), "left")
         .filter(F.coalesce("__got", F.lit(0)) < F.least(QUOTA, SIZE))
@@ -138,6 +138,7 @@ def draw_rows(
     )
     if short.isEmpty():
         return drawn
+    short = materialize(short)
     full = drawn.join(short.select(F.col(OF).alias("__short")), F.col(GROUP) == F.col("__short"), "left_anti")
     again = ranked.withColumn(GROUP, stratum_key(key_names))
     again = again.join(_side(short, bounds.drawn_bytes(), broadcast_bytes), F.col(GROUP) == F.col(OF)).drop(OF)
