@@ -245,3 +245,22 @@ def test_queries_do_not_depend_on_the_sessions_zone(spark):
         want = sorted(map(str, queries.QUERIES[name](spark, sf).collect()))
         with settings(spark, spark__sql__session__timeZone="Asia/Tokyo"):
             assert sorted(map(str, queries.QUERIES[name](spark, sf).collect())) == want, name
+
+
+def test_a_first_batch_of_everything_writes_few_rows(events, spark, folder, sink, monkeypatch):
+    from varstrata.operators import sample
+    from varstrata.streaming import reservoir
+
+    alloc = allocation(events, "key", "x", 60).persist()
+    wanted = sum(r.s for r in alloc.collect())
+    counted = []
+
+    def spy(df, real=sample.materialize):
+        out = real(df)
+        counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(sample, "materialize", spy)
+    monkeypatch.setattr(reservoir, "materialize", spy)
+    reservoir_to(file_stream(spark, folder, SCHEMA), alloc, "key", id="id", **sink)
+    assert 0 < sum(counted) <= 3 * wanted < events.count()
