@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varstrata.functions import ranks
 from varstrata.functions.columns import as_names, col, resolve
 from varstrata.operators.allocate import BROADCAST_BYTES, measure_bounds, stratum_key
 from varstrata.operators.lowest import ROWS_PER_TASK, keep_lowest
