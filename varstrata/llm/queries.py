@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varstrata.llm.bpe import bpe_encode
-from varstrata.llm.linededup import line_dedup
+from varstrata.llm.linededup import repeated_passages
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
 from varstrata.llm.oracle import EMBEDDING_NEAR_DEDUP, EXACT_TOP_K, NEAR_DEDUP, SUFFIX_DEDUP
@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = line_dedup(docs)
+    kept = repeated_passages(docs)
     return kept.select(
         "doc_id", "cleaning.n_lines", "cleaning.n_chunks", "cleaning.removed_chunks", "cleaning.removed_lines",
         F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256).alias("kept_sha256"),
