@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from varstrata.llm.queries import held_out
 from varstrata.llm.toxicity import (
-    Summer, codes, fit_svm, kernel, stems, subsequence_kernel, toxicity_model, toxicity_scores, windows, words_of
+    SHARPNESS, SILENT, Summer, alike, choose_landmarks, codes, fit_svm, kernel, stems, subsequence_kernel, toxicity_model, toxicity_scores, windows, words_of
 )
 
 
@@ -91,3 +91,31 @@ def test_held_out_accuracy(spark):
     said = out["score"] >= 0.5
     assert (said == (out["toxic"] == 1)).mean() > 0.96
     assert out["toxic"][said].mean() > 0.9 and said[out["toxic"] == 1].mean() > 0.8
+
+
+def test_no_audible_pair_is_left_out():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(1, 12))) for _ in range(300)] + ["idxiotic", "clwn", "stupd"]
+    marks = ["".join(rng.choices("abcdefg", k=rng.randint(4, 10))) for _ in range(30)] + ["idiot", "clown", "stupid"]
+    a, b = codes([w for w in words for _ in marks]), codes(marks * len(words))
+    own = np.sqrt(subsequence_kernel(a, a) * subsequence_kernel(b, b))
+    full = ((subsequence_kernel(a, b) / np.maximum(own, 1e-30)) ** SHARPNESS).reshape(len(words), len(marks))
+    assert alike(words, marks)[full >= SILENT].all()
+    assert np.allclose(kernel(words, marks)[full >= SILENT], full[full >= SILENT], rtol=1e-4)
+
+
+def test_rare_sure_words_are_landmarks():
+    # one in 1 % of toxic and in no clean text, beside a common one
+    chosen = choose_landmarks([("zorblat", 20, 0), ("idiot", 900, 10), ("window", 200, 1800)], 2000, 18_000)
+    assert chosen == ["idiot", "zorblat", "window"]
+
+
+def test_rare_insults_alone_do_not_make_scores_constant(spark):
+    rng = random.Random(8)
+    plain = ["stone", "river", "garden", "monday", "window", "paper", "music", "winter"]
+    insults = ["".join(rng.choices("bdfgklmnprstvzaeiou", k=8)) for _ in range(60)]
+    rows = [(i, " ".join(rng.choices(plain, k=20)) + (f" {insults[i % 60]}" if i < 120 else ""), int(i < 120)) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity_model(docs, docs.select("doc_id", "toxic"))
+    known = [r for r in toxicity_scores(docs, model).collect() if any(m in r.text for m in model.landmarks if m not in " ".join(plain))]
+    assert len(model.landmarks) == 48 and len(known) > 60 and np.mean([r.score >= 0.5 for r in known if r.toxic]) > 0.9

@@ -21,7 +21,6 @@ SILENT = 0.02  # smaller kernel values count as 0
 WINDOW = 24  # longer words are several, each this long and half overlapping
 LANDMARKS = 48
 NEAR = 0.55**SHARPNESS  # landmarks are less alike than this
-LEAST_GAIN = 0.1  # of a landmark: difference of the shares of texts that have it, times the log of their ratio
 TRAINING_ROWS = 20_000
 CACHED_WORDS = 200_000
 TEXT_CHARS = 1_000_000
@@ -71,43 +70,69 @@ def _self_kernel(coded: np.ndarray) -> np.ndarray:
     return subsequence_kernel(coded, coded)
 
 
+def _bits(coded: np.ndarray) -> np.ndarray:
+    """One of 63 bits for each code point."""
+    return np.uint64(1) << (coded % 63).astype(np.uint64)
+
+
 def letters(words: list[str]) -> np.ndarray:
     """The letters of each of some non-empty words, as a set of 63 bits."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-    bits = np.uint64(1) << (flat % np.uint32(63)).astype(np.uint64)
-    return np.bitwise_or.reduceat(bits, np.append(0, np.cumsum(lengths)[:-1])) if len(words) else np.zeros(0, np.uint64)
+    return np.bitwise_or.reduceat(_bits(flat), np.append(0, np.cumsum(lengths)[:-1])) if len(words) else np.zeros(0, np.uint64)
 
 
 def alike(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Which words have three quarters or more of a landmark's letters; all other kernel values count as 0."""
-    theirs = letters(landmarks)
-    common = np.bitwise_count(letters(words)[:, None] & theirs[None, :])
-    return 4 * common.astype(np.int16) >= 3 * np.bitwise_count(theirs).astype(np.int16)[None, :]
+    """Which words have enough of a landmark's letters that their kernel value may be SILENT or more.
+
+    Common subsequences have common letters only. So a word's normalised kernel is at most the root of the share that subsequences of those letters
+    have in the landmark's kernel with itself (Cauchy and Schwarz): no other pair can be heard.
+    """
+    out = np.zeros((len(words), len(landmarks)), bool)
+    if not len(words):
+        return out
+    sets, word = np.unique(letters(words), return_inverse=True)
+    masked, whole, place = [], [], []
+    marks = codes(landmarks)
+    for mark, theirs in zip(marks, letters(landmarks), strict=True):
+        found, at = np.unique(sets & theirs, return_inverse=True)
+        stays = (mark == 1) | ((_bits(mark)[None, :] & found[:, None]) != 0)
+        masked.append(np.where(stays, mark, 0))
+        whole.append(np.full(len(found), len(whole)))
+        place.append(at)
+    rows, owner = np.vstack(masked), np.concatenate(whole)
+    share = np.concatenate([_self_kernel(rows[low : low + 4096]) for low in range(0, len(rows), 4096)]) / _self_kernel(marks)[owner]
+    heard = share ** (SHARPNESS / 2) >= 0.999 * SILENT  # less what rounding takes
+    first = 0
+    for j, at in enumerate(place):
+        out[:, j] = heard[first + at][word]
+        first += len(masked[j])
+    return out
 
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel of words and landmarks, sharpened.
 
-    Only pairs that are ``alike`` are computed, those of words of one length together.
+    Only pairs that are ``alike`` are computed, those of about one length together.
     """
     out = np.zeros((len(words), len(landmarks)), np.float32)
     marks = codes(landmarks)
-    own, near = _self_kernel(marks), alike(words, landmarks)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    for length in np.unique(lengths):
-        every = np.flatnonzero(lengths == length)
-        for low in range(0, len(every), 4096):
-            part = every[low : low + 4096]
-            coded = codes([words[i] for i in part])
-            i, j = np.nonzero(near[part])
-            used, at = np.unique(i, return_inverse=True)
-            among = _self_kernel(coded[used])[at]
-            width = len(marks[0])
-            for first in range(0, len(i), 16_384):
-                p = slice(first, first + 16_384)
-                value = subsequence_kernel(coded[i[p]], marks[j[p], :width])
-                out[part[i[p]], j[p]] = value / np.sqrt(np.maximum(among[p] * own[j[p]], 1e-30))
+    sizes = np.fromiter(map(len, landmarks), np.int64, len(landmarks)) + 1
+    own = _self_kernel(marks)
+    i, j = np.nonzero(alike(words, landmarks))
+    used, at = np.unique(i, return_inverse=True)
+    coded = codes([words[k] for k in used])
+    lengths = np.fromiter((len(words[k]) for k in used), np.int64, len(used)) + 1
+    among = np.zeros(len(used), np.float32)
+    order = np.argsort(lengths, kind="stable")
+    for low in range(0, len(order), 4096):
+        p = order[low : low + 4096]
+        among[p] = _self_kernel(coded[p, : lengths[p].max()])
+    order = np.lexsort((sizes[j], lengths[at]))
+    for low in range(0, len(order), 4096):
+        p = order[low : low + 4096]
+        a, b = coded[at[p], : lengths[at[p]].max()], marks[j[p], : sizes[j[p]].max()]
+        out[i[p], j[p]] = subsequence_kernel(a, b) / np.sqrt(np.maximum(among[at[p]] * own[j[p]], 1e-30))
     return np.where(np.isfinite(out), out, 0) ** SHARPNESS
 
 
@@ -137,24 +162,25 @@ class Summer:
         self.values = np.zeros((0, len(self.landmarks)), np.float32)
 
     def _learn(self, raw: list[str]) -> None:
-        self.row.update(dict.fromkeys(raw, -1))
-        stripped = [w.strip(_EDGES) for w in raw]
-        owner = [i for i, w in enumerate(stripped) if 0 < len(w) <= WINDOW]
-        parts = [stripped[i] for i in owner]
-        for i, w in enumerate(stripped):
+        bare = [w.strip(_EDGES) for w in raw]
+        fresh = [w for w in dict.fromkeys(bare) if w not in self.row]  # forms of a word that differ in marks around it are computed once
+        owner = [i for i, w in enumerate(fresh) if 0 < len(w) <= WINDOW]
+        parts = [fresh[i] for i in owner]
+        for i, w in enumerate(fresh):
             if len(w) > WINDOW:
                 pieces = windows(w)
                 owner += [i] * len(pieces)
                 parts += pieces
-        some = np.flatnonzero(alike(parts, self.landmarks).any(1))
-        values = kernel([parts[k] for k in some], self.landmarks)
+        self.row.update(dict.fromkeys(fresh, -1))
+        values = kernel(parts, self.landmarks)
         values[values < SILENT] = 0
         loud = np.flatnonzero(values.any(1))
-        rows, at = np.unique(np.array(owner, np.int64)[some[loud]], return_inverse=True)
+        rows, at = np.unique(np.array(owner, np.int64)[loud], return_inverse=True)
         new = np.zeros((len(rows), len(self.landmarks)), np.float32)
         np.add.at(new, at, values[loud])
         base = len(self.values)
-        self.row.update((raw[i], base + k) for k, i in enumerate(rows))
+        self.row.update((fresh[i], base + k) for k, i in enumerate(rows))
+        self.row.update((w, self.row[b]) for w, b in zip(raw, bare, strict=True))
         self.values = np.vstack([self.values, new])
 
     def sums(self, texts: list[str]) -> np.ndarray:
@@ -249,7 +275,7 @@ def choose_landmarks(counted: list[tuple[str, int, int]], toxic: int, clean: int
         p, q = (t + 0.5) / (toxic + 1), (c + 0.5) / (clean + 1)
         return abs(p - q) * abs(np.log(p / q))
 
-    order = sorted((x for x in counted if gain(x[1], x[2]) >= LEAST_GAIN), key=lambda x: (-gain(x[1], x[2]), -len(x[0]), x[0]))[: 20 * n]
+    order = sorted(counted, key=lambda x: (-gain(x[1], x[2]), -len(x[0]), x[0]))[: 20 * n]
     if not order:
         return ["landmark"]
     names = [x[0] for x in order]
