@@ -89,3 +89,17 @@ def test_empty_and_odd_documents(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             frame = corpus_pipeline.written(stage(spark, frame, str(tmp_path)), "t")
         assert frame.count() == n
+
+
+def test_order_survives_files_of_unequal_size(spark, tmp_path):
+    docs = spark.range(600).selectExpr(
+        "id doc_id", "repeat('word ', cast(1 + pow(id % 7, 3) as int)) text", "'en' lang", "if(id % 3 = 0, 'a', if(id % 5 = 0, 'b', 'c')) source", "1L n_chars")
+    mixed = corpus_pipeline.mix(docs)
+    want = [r.doc_id for r in mixed.orderBy("place.slot", "place.at").collect()]
+    corpus_pipeline.in_order(mixed, rows_per_file=100).write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.encode(spark, spark.read.parquet(f"{tmp_path}/mixed"), "")
+    out.write.parquet(f"{tmp_path}/coded")
+    rows = spark.read.parquet(f"{tmp_path}/coded").orderBy("slot", "at").collect()
+    assert [r.doc_id for r in rows] == want
+    files = sorted((tmp_path / "coded").glob("part-*.parquet"))
+    assert [r.doc_id for f in files for r in spark.read.parquet(str(f)).collect()] == want

@@ -141,8 +141,8 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
     return placed.select(*[F.col(f"`{c}`") for c in rows.columns], place.alias("place"))
 
 
-def in_order(mixed: DataFrame, rows_per_file: int = 20_000) -> DataFrame:
-    """Rows of ``mix`` without place, dealt and sorted so that files in name order are the mixture.
+def in_order(mixed: DataFrame, rows_per_file: int = 20_000, keep_place: bool = False) -> DataFrame:
+    """Rows of ``mix``, without place unless ``keep_place``, dealt and sorted so that files in name order are the mixture.
 
     Slots are cut into equal ranges, one for each partition: slots are numbered without gaps until the first source has run out, so
     partitions are about equal; no range sampling pass is needed.
@@ -150,7 +150,8 @@ def in_order(mixed: DataFrame, rows_per_file: int = 20_000) -> DataFrame:
     size = mixed.agg(F.max("place.slot").alias("last"), F.count(F.lit(1)).alias("n")).first()
     last, n = size["last"] or 0, size["n"] or 0
     parts = max(1, min(math.ceil(n / rows_per_file), 100_000))
-    return (
+    dealt = (
         mixed.repartitionById(parts, F.least(F.floor(F.col("place.slot") * parts / F.lit(last + 1)), F.lit(parts - 1)).cast("int"))
-        .sortWithinPartitions("place.slot", "place.at").drop("place")
+        .sortWithinPartitions("place.slot", "place.at")
     )
+    return dealt if keep_place else dealt.drop("place")
