@@ -141,3 +141,30 @@ select doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transfo
   folded_root = root as verified
 from told
 """
+
+PREFIX_TRIE = f"""
+with turns as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first) as r from conversations
+  where conv_id is not null
+), own as (
+  select c, list(struct_pack(role, text) order by r) as l, {_crc32("c")} % 6 as h from turns group by c
+), seqs as (
+  select a.c, coalesce(list_slice(b.l, 1, a.h), []) || list_slice(a.l, a.h + 1, len(a.l)) as s from own a left join own b on b.c = a.c - a.c % 100
+), rows as (
+  select c, d, md5(cast(list_slice(s, 1, d) as varchar)) as k, d = len(s) as at_end, case when d > 0 then md5(cast(list_slice(s, 1, d - 1) as varchar)) end as parent,
+    case when d > 0 then length(s[d].text) else 0 end as points
+  from (select c, s, unnest(range(0, len(s) + 1)) as d from seqs)
+), nodes as (
+  select k, d, min(c) as c, min(parent) as parent, count(*) as n_convs, min(points) as points,
+    sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (at_end), '')) as ends_sha256
+  from rows group by k, d
+), children as (
+  select parent as k, count(*) as n from nodes where parent is not null group by parent
+), totals as (
+  select a.k, sum((n.n_convs - 1) * n.points) as saved, count(*) filter (ch.k is null) as leaves
+  from nodes n join rows a on a.c = n.c and a.d <= n.d left join children ch on ch.k = n.k group by a.k
+)
+select n.c as conv_id, n.d as depth, p.c as parent_conv_id, n.n_convs, coalesce(ch.n, 0) as n_children, t.leaves as n_leaves,
+  cast(t.saved as bigint) as saved_tokens, n.ends_sha256
+from nodes n join totals t on t.k = n.k left join nodes p on p.k = n.parent left join children ch on ch.k = n.k
+"""

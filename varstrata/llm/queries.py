@@ -13,13 +13,14 @@ from varstrata.llm.linededup import repeated_passages
 from varstrata.llm.merkle import folded, leaf, merkle_manifest, siblings_digest
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
-from varstrata.llm.oracle import EMBEDDING_NEAR_DEDUP, EXACT_TOP_K, MERKLE_MANIFEST, NEAR_DEDUP, SUFFIX_DEDUP
+from varstrata.llm.oracle import EMBEDDING_NEAR_DEDUP, EXACT_TOP_K, MERKLE_MANIFEST, NEAR_DEDUP, PREFIX_TRIE, SUFFIX_DEDUP
 from varstrata.llm.pii import KINDS, find_pii, pii_model
 from varstrata.llm.quantised import embedding_near_duplicates
 from varstrata.llm.secrets import secret_model, secret_scan
 from varstrata.llm.suffix import suffix_dedup
 from varstrata.llm.topk import top_k
 from varstrata.llm.toxicity import toxicity_model, toxicity_scores
+from varstrata.llm.trie import prefix_trie
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +124,11 @@ def op4_pii(spark, sf_dir):
     )
 
 
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -138,5 +144,5 @@ def op13_merkle_manifest(spark, sf_dir):
 
 LLM_ORACLE.update(
     op2_suffix_dedup=SUFFIX_DEDUP, op7_embedding_near_dedup=EMBEDDING_NEAR_DEDUP, op9_exact_top_k=EXACT_TOP_K,
-    op10_minmax_near_dedup=NEAR_DEDUP, op13_merkle_manifest=MERKLE_MANIFEST,
+    op10_minmax_near_dedup=NEAR_DEDUP, op11_prefix_trie=PREFIX_TRIE, op13_merkle_manifest=MERKLE_MANIFEST,
 )
