@@ -18,6 +18,7 @@ from varstrata.llm.pii import KINDS, find_pii, pii_model
 from varstrata.llm.quantised import embedding_near_duplicates
 from varstrata.llm.secrets import secret_model, secret_scan
 from varstrata.llm.suffix import suffix_dedup
+from varstrata.llm.tokenfile import read_tokens, write_tokens
 from varstrata.llm.topk import top_k
 from varstrata.llm.toxicity import toxicity_model, toxicity_scores
 from varstrata.llm.trie import prefix_trie
@@ -129,6 +130,12 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
 
+@query
+def op12_token_files(spark, sf_dir):
+    path = write_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
