@@ -57,7 +57,7 @@ def test_every_character(library):
 
 
 def test_forgotten_words(library, monkeypatch):
-    monkeypatch.setattr(tokenfile, "CACHED_CHUNKS", 2)
+    monkeypatch.setattr(tokenfile, "CACHED_PIECES", 2)
     coder = WordCoder(open(PATH, encoding="utf-8").read())
     for _ in range(2):
         for text in TEXTS:

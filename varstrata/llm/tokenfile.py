@@ -22,19 +22,20 @@ FILE_TOKENS = 1 << 26  # a file ends with the document that reaches so many toke
 FILE_DOCS = 1 << 20
 TEXT_CHARS = 2_000_000  # encoded at once; a longer text alone
 READ_TOKENS = 1 << 20  # given out at once; a longer document alone
-CACHED_CHUNKS = 500_000
-# fixed values of the vocabulary's format: its pieces, for chunks of these letters only
-_PLAIN = re.compile(r"[!-~À-ÿ]+")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+CACHED_PIECES = 1_000_000
+# fixed values of the vocabulary's format: its pieces, for texts of these letters and white space only
+_LETTERS = "a-zß-öø-ÿ"
+_PLAIN = re.compile(r"[\t-\r -~À-ÿ]*")
+_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9\t-\r ]+")
 _SPECIAL = "<|"
 _WORD_END = "</w>"
 
 
 class WordCoder:
-    """The tokenizers library over words that are new; what is known is looked up.
+    """The tokenizers library over pieces that are new; what is known is looked up.
 
-    A vocabulary with word ends encodes what white space parts one by one. Chunks between white space are cut into the vocabulary's pieces if their letters
-    make that safe; other chunks (and any that may hold a special token) go to the library whole.
+    A vocabulary with word ends encodes piece by piece. Texts are cut into the vocabulary's pieces if their letters make that safe. Other texts, and any that may hold a special token,
+    are cut at the white space of ASCII, which no piece and no normal form goes over, and the chunks that are not safe go to the library whole.
     """
 
     def __init__(self, content: str):
@@ -47,43 +48,49 @@ class WordCoder:
         self.ends = np.zeros(size, bool)
         for name, i in vocabulary.items():
             self.ends[i] = name.endswith(_WORD_END)
-        self.chunks: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _learn(self, new: list[bytes]) -> None:
-        cut, whole = {}, []
-        for chunk in new:
-            text = chunk.decode()
-            if _PLAIN.fullmatch(text) and _SPECIAL not in text:
-                cut[chunk] = _PIECE.findall(text.lower())
+    def _cut(self, text: str) -> list[str]:
+        """The pieces of a text, in lower case; chunks that have to be encoded whole begin with a blank, as no piece does."""
+        if _PLAIN.fullmatch(text) and _SPECIAL not in text:
+            return _PIECE.findall(text.lower())
+        out = []
+        for chunk in text.encode().split():
+            part = chunk.decode()
+            if _PLAIN.fullmatch(part) and _SPECIAL not in part:
+                out += _PIECE.findall(part.lower())
             else:
-                whole.append(text)
-        fresh = list({p for pieces in cut.values() for p in pieces if p not in self.pieces})
-        for low in range(0, len(fresh), 1000):
-            some = fresh[low : low + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
-            parts = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-            self.pieces.update((p, x.tobytes()) for p, x in zip(some, parts, strict=True))
-        self.chunks.update((chunk, b"".join(map(self.pieces.__getitem__, pieces))) for chunk, pieces in cut.items())
+                out.append(" " + part)
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        whole = [p for p in new if p[0] == " "]
         for low in range(0, len(whole), 1000):
             some = whole[low : low + 1000]
-            coded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.chunks.update((text.encode(), self._packed(x.ids)) for text, x in zip(some, coded, strict=True))
+            coded = self.tokenizer.encode_batch_fast([p[1:] for p in some], add_special_tokens=False)
+            self.pieces.update((p, self._packed(x.ids)) for p, x in zip(some, coded, strict=True))
+        single = [p for p in new if p[0] != " "]
+        for low in range(0, len(single), 1000):
+            some = single[low : low + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
+            cuts = (self.dtype.itemsize * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            flat = ids.tobytes()
+            self.pieces.update((p, flat[a:b]) for p, a, b in zip(some, [0, *cuts[:-1]], cuts, strict=True))
 
     def encode(self, texts: list[str], end: int | None = END_ID) -> list[bytes]:
         """Ids of each text, and after them ``end``, as little-endian numbers of the smallest type that holds all ids."""
-        if len(self.chunks) > CACHED_CHUNKS or len(self.pieces) > CACHED_CHUNKS:
-            self.chunks, self.pieces = {}, {}
-        split = [text.encode().split() for text in texts]  # bytes are parted at the white space of ASCII only
-        new = {chunk for chunks in split for chunk in chunks if chunk not in self.chunks}
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces = {}
+        cut = [self._cut(text) for text in texts]
+        new = set().union(*cut).difference(self.pieces)
         if new:
             self._learn(list(new))
         tail = b"" if end is None else self._packed([end])
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, chunks)) + tail for chunks in split]
+        known = self.pieces.__getitem__
+        return [b"".join(map(known, pieces)) + tail for pieces in cut]
 
 
 _held: dict[int, WordCoder] = {}
@@ -154,12 +161,12 @@ def write_tokens(
     holds the ids one after the other, unsigned and little-endian, 2 bytes each if the vocabulary allows, else 4; ``{name}.idx`` n_docs + 1 unsigned 64-bit offsets into it, in tokens;
     ``{name}.doc`` the documents' ids as 64-bit numbers, then a byte for each, 0 where the id is null. path is a folder that all executors reach, as a plain path or with a scheme that pyarrow knows.
 
-    How: texts are encoded where they are read, in Python workers, by the tokenizers library; the ids are dealt by ranges of ``id``, and each task writes its range to files of bounded size as rows
-    come. Files' names are their attempt's own, and the manifest, written by Spark, names those that count, so that lost or doubled attempts leave no trace in it. The bases are prefix sums over the
+    How: texts are dealt by ranges of ``id``; each task encodes its range in order, by the tokenizers library, and writes it to files of bounded size as rows come. So texts are shuffled
+    once, ids never. Files' names are their attempt's own, and the manifest, written by Spark, names those that count, so that lost or doubled attempts leave no trace in it. The bases are prefix sums over the
     manifest: one row for each file. Columns other than the two are not read.
 
     Nulls: a null text is empty; an empty text has the end id alone (nothing, if ``end`` is None). Null ids come first. Rows of equal id are all written, in the order of a hash of
-    their ids; many of them may go over several files. A text of any length is one document, never cut. An empty table makes an empty manifest. ``id`` must be an integer column.
+    their texts; many of them may go over several files. A text of any length is one document, never cut. An empty table makes an empty manifest. ``id`` must be an integer column.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
@@ -168,34 +175,27 @@ def write_tokens(
     dtype = WordCoder(content).dtype
     spec = spark.sparkContext.broadcast(content)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(spec.value)
-        for batch in batches:
-            for rows, texts in text_parts(batch, "text", TEXT_CHARS):
-                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(coder.encode(texts, end), pa.binary())], names=["id", "packed"])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(files: list[tuple]) -> pa.RecordBatch:
             types = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int64())
             names = [field.split()[0] for field in MANIFEST.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*files, strict=True), types, strict=True)], names=names)
 
-        writer = None
+        coder, writer = _coder(spec.value), None
         for batch in batches:
             writer = writer or _Writer(path, dtype, file_tokens, FILE_DOCS)
-            for id, packed in zip(batch.column("id").to_pylist(), batch.column("packed"), strict=True):
-                file = writer.add(id, packed.as_py())
-                if file:
-                    yield told([file])
+            for rows, texts in text_parts(batch, "text", TEXT_CHARS):
+                for id, packed in zip(rows.column("id").to_pylist(), coder.encode(texts, end), strict=True):
+                    file = writer.add(id, packed)
+                    if file:
+                        yield told([file])
         file = writer.close() if writer else None
         if file:
             yield told([file])
 
-    plain = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    coded = written(plain.mapInArrow(encode, "id bigint, packed binary"), "coded")  # else the sampling of ranges would encode all texts as well
-    numbered = coded.withColumn("h", F.xxhash64("packed")).withColumn("row", F.monotonically_increasing_id())
+    numbered = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
     order = [F.col("id").asc_nulls_first(), F.col("h"), F.col("row")]
-    dealt = numbered.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "packed")
+    dealt = numbered.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
     files = written(dealt.mapInArrow(write, MANIFEST), "files")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     files.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).write.parquet(f"{path}/manifest")
