@@ -123,6 +123,16 @@ def cumulative_stats(
     cancel, and a stratum whose extremes agree has deviation 0.
     """
     key_names = list(resolve_roles(windowed.columns, keys).keys)
+    running = running_moments(windowed, key_names)
+    gamma = variation(F.col("mean"), F.col("sd"), weight=weight, degenerate=degenerate, abs_mean=abs_mean)
+    return running.select("window", *[col(k) for k in key_names], "n", "mean", "sd", gamma.alias("gamma"))
+
+
+def running_moments(windowed: DataFrame, key_names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``n``, ``mean``, ``sd``, ``low`` and ``high`` of each window and all earlier ones of its stratum; columns in ``keep`` stay.
+
+    A row may itself cover many windows, as long as it comes first: what was carried forward goes on from there.
+    """
     by_key = Window.partitionBy(*[col(k) for k in key_names]).orderBy(F.col("window.start"))
     so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -130,22 +140,20 @@ def cumulative_stats(
     shifted = windowed.withColumn("__origin", F.first("mean").over(so_far)).withColumn("__moved", moved)
     running = shifted.select(
         "window",
-        *[col(k) for k in key_names],
+        *[col(k) for k in [*key_names, *keep]],
         F.sum("n").over(so_far).alias("n"),
         F.col("__origin"),
         F.sum(F.col("n") * F.col("__moved")).over(so_far).alias("__s1"),
         F.sum(F.col("n") * (F.col("sd") * F.col("sd") + F.col("__moved") * F.col("__moved")))
         .over(so_far)
         .alias("__s2"),
-        (F.min("low").over(so_far) == F.max("high").over(so_far)).alias("__constant"),
+        F.min("low").over(so_far).alias("low"),
+        F.max("high").over(so_far).alias("high"),
     )
     drift = F.col("__s1") / F.col("n")
     variance = F.greatest(F.lit(0.0), F.col("__s2") / F.col("n") - drift * drift)
     return (
         running.withColumn("mean", F.col("__origin") + drift)
-        .withColumn("sd", F.when(F.col("__constant"), F.lit(0.0)).otherwise(F.sqrt(variance)))
-        .withColumn(
-            "gamma", variation(F.col("mean"), F.col("sd"), weight=weight, degenerate=degenerate, abs_mean=abs_mean)
-        )
-        .select("window", *[col(k) for k in key_names], "n", "mean", "sd", "gamma")
+        .withColumn("sd", F.when(F.col("low") == F.col("high"), F.lit(0.0)).otherwise(F.sqrt(variance)))
+        .drop("__origin", "__s1", "__s2")
     )

@@ -115,15 +115,24 @@ CUMULATIVE_TOTAL = (
 )
 
 
-def daily_sample(m: int, columns: str) -> str:
+def daily_sample(m: int, columns: str, source: str = DAYS) -> str:
     rank = "md5(concat_ws('|', '42', cast(r.event_id as varchar)))"
     return (
-        f"with a as ({daily_quotas(daily(DAYS), m)}), ranked as (select r.*, a.n, a.s,"
+        f"with a as ({daily_quotas(daily(source), m)}), ranked as (select r.*, a.n, a.s,"
         f" row_number() over (partition by r.day, r.event_type order by {rank}, r.event_id) as place"
-        f" from {DAYS} r join a using (day, event_type)) select {columns} from ranked where place <= s"
+        f" from {source} r join a using (day, event_type)) select {columns} from ranked where place <= s"
     )
 
 
+# a user's life ends with more than one day without events; statistics run over the days of one life
+LIVES = (
+    f"with e as {CLOSED}, d as (select distinct user_id, day, cast(day as date) as began from e),"
+    " g as (select *, case when began - lag(began) over (partition by user_id order by began) > 2 then 1 else 0 end as anew from d),"
+    " l as (select *, sum(anew) over (partition by user_id order by began) as life from g)"
+    f" select l.day, l.user_id, count(*) as n, round(sum(e.value), 4) as total, round(stddev_pop(e.value), 6) as sd"
+    " from l join l b on b.user_id = l.user_id and b.life = l.life and b.began <= l.began"
+    " join e on e.user_id = b.user_id and e.day = b.day group by l.day, l.user_id"
+)
 WORDS = (
     "select word, count(*) as n from (select unnest(regexp_split_to_array(lower(text), '\\W+')) as word"
     " from documents) where word <> '' group by word"
@@ -233,6 +242,9 @@ ORACLE: dict[str, str] = {
     "stream_cumulative": running(DAYS),
     "stream_cumulative_total": CUMULATIVE_TOTAL,
     "stream_windowed_sample": daily_sample(20, "day, event_id, event_type, s"),
+    "stream_stream_sample": daily_sample(20, "day, event_id, event_type, n, s", CLOSED),
+    "stream_carried": running(CLOSED),
+    "stream_expiring": LIVES,
     "stream_rows_with_allocation": f"{quotas(*EVENTS, 50)} select event_id, event_type, n, s"
     " from events join alloc using (event_type)",
     "stream_reservoir": sample(*EVENTS, 50, "event_id", "event_id, event_type, value, s"),

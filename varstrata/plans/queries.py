@@ -27,6 +27,8 @@ from varstrata.operators.stats import (
 from varstrata.operators.words import word_count
 from varstrata.plans.runtime import materialize, scratch_path
 from varstrata.sources import delimited, nested, records
+from varstrata.streaming.carried import carried_to
+from varstrata.streaming.joined import stream_sample_to
 from varstrata.streaming.reservoir import admitted_to, reservoir_sample, reservoir_to
 from varstrata.streaming.runner import append_to, table_stream, with_event_time
 from varstrata.streaming.windows import cumulative_to, totals_to, window_gamma, windows_to
@@ -485,6 +487,30 @@ def stream_windowed_sample(spark, sf_dir):
     return sample.select(*utc_day(), "event_id", "event_type", "s")
 
 
+@query
+def stream_stream_sample(spark, sf_dir):
+    # both passes run at once: rows wait for the statistics of their window
+    events = with_event_time(instants(stream(spark, sf_dir, "events")), "ts", "0 seconds")
+    rows = with_window(events.select("event_id", "ts", "event_type", "value"), "ts", DAY)
+    sample, _ = stream_sample_to(rows, _daily(spark, sf_dir), "event_type", 20, id="event_id", hash="md5", **sink(spark))
+    return sample.select(*utc_day(), "event_id", "event_type", "n", "s")
+
+
+@query
+def stream_carried(spark, sf_dir):
+    running = carried_to(_daily(spark, sf_dir), "event_type", **sink(spark))
+    return running.select(*utc_day(), "event_type", "n", *rounded("mean", "sd", "gamma"))
+
+
+@query
+def stream_expiring(spark, sf_dir):
+    # statistics of a user, begun anew after more than a day without events
+    events = with_event_time(instants(stream(spark, sf_dir, "events")), "ts", "0 seconds")
+    running = carried_to(windowed_stats(events, "user_id", "value", "ts", DAY), "user_id", expire="1 day", **sink(spark))
+    total = F.round(F.col("mean") * F.col("n"), 4).alias("total")
+    return running.select(*utc_day(), "user_id", "n", total, *rounded("sd"))
+
+
 @query
 def stream_rows_with_allocation(spark, sf_dir):
     alloc = allocation(table(spark, sf_dir, "events"), "event_type", "value", 50)
