@@ -6,6 +6,8 @@ import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache, lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,8 @@ WINDOW = 24  # longer words are several, each this long and half overlapping
 LANDMARKS = 48
 NEAR = 0.55**SHARPNESS  # landmarks are less alike than this
 TRAINING_ROWS = 20_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 1_000_000  # without marks around them; few have values
+CACHED_FORMS = 200_000  # as they stand in texts
 TEXT_CHARS = 1_000_000
 _SPELLED = re.compile(r"(?<!\S)(?:\w\s){3,}\w(?!\S)")
 _EDGES = string.punctuation + "«»“”„’‘…¿¡–—"
@@ -70,48 +73,97 @@ def _self_kernel(coded: np.ndarray) -> np.ndarray:
     return subsequence_kernel(coded, coded)
 
 
-def _bits(coded: np.ndarray) -> np.ndarray:
-    """One of 63 bits for each code point."""
-    return np.uint64(1) << (coded % 63).astype(np.uint64)
+class Triples:
+    """The subsequences of three characters of all landmarks, as numbers, with what each weighs in each landmark."""
+
+    def __init__(self, landmarks: list[str]):
+        marks = codes(landmarks)
+        self.alphabet = np.unique(marks[marks > 0])
+        base = self.base = len(self.alphabet) + 1
+        numbers, owner, weight = [], [], []
+        for j, mark in enumerate(landmarks):
+            i1, i2, i3, span = _places(len(mark) + 1)
+            c = self.letters(marks[j : j + 1, : len(mark) + 1])[0]
+            numbers.append((c[i1] * base + c[i2]) * base + c[i3])
+            owner.append(np.full(len(i1), j))
+            weight.append(span)
+        self.known, at = np.unique(np.concatenate(numbers), return_inverse=True)
+        self.weight = np.zeros((len(self.known) + 1, len(landmarks)), np.float32)  # row 0: in no landmark
+        np.add.at(self.weight, (at + 1, np.concatenate(owner)), np.concatenate(weight))
+        self.own = (self.weight.astype(np.float64) ** 2).sum(0)
+        self.table = None
+        if base**3 <= 1 << 24:
+            self.table = np.zeros(base**3, np.int32)
+            self.table[self.known] = np.arange(len(self.known)) + 1
+
+    def letters(self, coded: np.ndarray) -> np.ndarray:
+        """Numbers of characters from 1; 0 for those that no landmark has."""
+        at = np.minimum(np.searchsorted(self.alphabet, coded), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == coded, at + 1, 0).astype(np.int64)
+
+    def rows(self, numbers: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[numbers]
+        at = np.minimum(np.searchsorted(self.known, numbers), len(self.known) - 1)
+        return np.where(self.known[at] == numbers, at + 1, 0)
+
+    def kernel(self, coded: np.ndarray) -> np.ndarray:
+        """Plain kernel values of words of one length, with all landmarks."""
+        i1, i2, i3, span = _places(coded.shape[1])
+        c = self.letters(coded)
+        found = self.rows((c[:, i1] * self.base + c[:, i2]) * self.base + c[:, i3])
+        word, place = np.nonzero(found)
+        out = np.zeros((len(coded), self.weight.shape[1]), np.float32)
+        if len(word):
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            out[word[starts]] = np.add.reduceat(self.weight[found[word, place]] * span[place, None], starts)
+        return out
+
+
+@cache
+def _places(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All three places in order among n, and the decay of what they span."""
+    triples = np.array(list(combinations(range(n), ORDER)), np.int64).reshape(-1, ORDER)
+    return triples[:, 0], triples[:, 1], triples[:, 2], (DECAY ** (triples[:, 2] - triples[:, 0] + 1)).astype(np.float32)
 
 
-def letters(words: list[str]) -> np.ndarray:
-    """The letters of each of some non-empty words, as a set of 63 bits."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-    return np.bitwise_or.reduceat(_bits(flat), np.append(0, np.cumsum(lengths)[:-1])) if len(words) else np.zeros(0, np.uint64)
+@lru_cache(maxsize=4)
+def _triples(landmarks: tuple[str, ...]) -> Triples:
+    return Triples(list(landmarks))
 
 
-def alike(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Which words have enough of a landmark's letters that their kernel value may be SILENT or more.
+TRIPLES_TOGETHER = 400_000
 
-    Common subsequences have common letters only. So a word's normalised kernel is at most the root of the share that subsequences of those letters
-    have in the landmark's kernel with itself (Cauchy and Schwarz): no other pair can be heard.
+
+def alike(words: list[str], landmarks: list[str], least: float = SILENT) -> np.ndarray:
+    """Which words are near enough to a landmark that their kernel value may be ``least`` or more, and is above 0.
+
+    The kernel is a sum over common subsequences, added up here from a table of the landmarks' own. A word's kernel with itself is at least the sum of the squares of what
+    its subsequences weigh place by place, which depends on its length alone. So the quotient bounds the normalised kernel from above: no other pair can be heard.
     """
     out = np.zeros((len(words), len(landmarks)), bool)
     if not len(words):
         return out
-    sets, word = np.unique(letters(words), return_inverse=True)
-    masked, whole, place = [], [], []
-    marks = codes(landmarks)
-    for mark, theirs in zip(marks, letters(landmarks), strict=True):
-        found, at = np.unique(sets & theirs, return_inverse=True)
-        stays = (mark == 1) | ((_bits(mark)[None, :] & found[:, None]) != 0)
-        masked.append(np.where(stays, mark, 0))
-        whole.append(np.full(len(found), len(whole)))
-        place.append(at)
-    rows, owner = np.vstack(masked), np.concatenate(whole)
-    share = np.concatenate([_self_kernel(rows[low : low + 4096]) for low in range(0, len(rows), 4096)]) / _self_kernel(marks)[owner]
-    heard = share ** (SHARPNESS / 2) >= 0.999 * SILENT  # less what rounding takes
-    first = 0
-    for j, at in enumerate(place):
-        out[:, j] = heard[first + at][word]
-        first += len(masked[j])
+    triples = _triples(tuple(landmarks))
+    coded = codes(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    order = np.argsort(lengths, kind="stable")
+    for same in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1):
+        n = int(lengths[same[0]])
+        if n < ORDER:
+            continue
+        span = _places(n)[3].astype(np.float64)
+        own = np.sqrt((span**2).sum() * triples.own)
+        step = max(1, TRIPLES_TOGETHER // len(span))
+        for low in range(0, len(same), step):
+            some = same[low : low + step]
+            values = triples.kernel(coded[some, :n])
+            out[some] = (values > 0) & ((values / own) ** SHARPNESS >= 0.99 * least)  # less what rounding takes
     return out
 
 
-def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel of words and landmarks, sharpened.
+def kernel(words: list[str], landmarks: list[str], least: float = 0.0) -> np.ndarray:
+    """Normalised kernel of words and landmarks, sharpened; values below ``least`` may be given as 0.
 
     Only pairs that are ``alike`` are computed, those of about one length together.
     """
@@ -119,7 +171,7 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     marks = codes(landmarks)
     sizes = np.fromiter(map(len, landmarks), np.int64, len(landmarks)) + 1
     own = _self_kernel(marks)
-    i, j = np.nonzero(alike(words, landmarks))
+    i, j = np.nonzero(alike(words, landmarks, least))
     used, at = np.unique(i, return_inverse=True)
     coded = codes([words[k] for k in used])
     lengths = np.fromiter((len(words[k]) for k in used), np.int64, len(used)) + 1
@@ -158,7 +210,8 @@ class Summer:
         self._forget()
 
     def _forget(self) -> None:
-        self.row: dict[str, int] = {}  # of a raw word; -1 if all its values are 0
+        self.forms: dict[str, int] = {}
+        self.row: dict[str, int] = {}  # of a word without marks; -1 if all its values are 0
         self.values = np.zeros((0, len(self.landmarks)), np.float32)
 
     def _learn(self, raw: list[str]) -> None:
@@ -172,7 +225,7 @@ class Summer:
                 owner += [i] * len(pieces)
                 parts += pieces
         self.row.update(dict.fromkeys(fresh, -1))
-        values = kernel(parts, self.landmarks)
+        values = kernel(parts, self.landmarks, SILENT)
         values[values < SILENT] = 0
         loud = np.flatnonzero(values.any(1))
         rows, at = np.unique(np.array(owner, np.int64)[loud], return_inverse=True)
@@ -180,19 +233,21 @@ class Summer:
         np.add.at(new, at, values[loud])
         base = len(self.values)
         self.row.update((fresh[i], base + k) for k, i in enumerate(rows))
-        self.row.update((w, self.row[b]) for w, b in zip(raw, bare, strict=True))
+        self.forms.update(zip(raw, map(self.row.__getitem__, bare), strict=True))
         self.values = np.vstack([self.values, new])
 
     def sums(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.landmarks)), np.float32)
         if len(self.row) > CACHED_WORDS:
             self._forget()
+        if len(self.forms) > CACHED_FORMS:
+            self.forms = {}
         split = [words_of(text) for text in texts]
-        unknown = {w for ws in split for w in ws if w not in self.row}
+        unknown = set().union(*split).difference(self.forms)
         if unknown:
             self._learn(sorted(unknown))
         for i, ws in enumerate(split):
-            rows = [r for r in map(self.row.__getitem__, ws) if r >= 0]
+            rows = [r for r in map(self.forms.__getitem__, ws) if r >= 0]
             if rows:
                 out[i] = self.values[rows].sum(0)
         return out
@@ -279,7 +334,7 @@ def choose_landmarks(counted: list[tuple[str, int, int]], toxic: int, clean: int
     if not order:
         return ["landmark"]
     names = [x[0] for x in order]
-    near = kernel(names, names) > NEAR
+    near = kernel(names, names, NEAR) > NEAR
     chosen: list[int] = []
     for i in range(len(names)):
         if len(chosen) < n and not near[i, chosen].any():
