@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from varstrata.llm.linededup import line_chunks, line_dedup, repeated_passages
+from varstrata.llm.linededup import LEAST_BYTES, line_chunks, line_dedup, repeated_passages
 
 
 def chunks_of(spark, texts):
@@ -140,3 +140,56 @@ def test_odd_rows_of_passages(spark):
     assert sorted(((r.doc_id or 0, r.text) for r in out), key=str) == sorted([(0, ""), (4, text), (4, text), (9, ""), (5, None), (6, ""), (7, "x"), (8, "x")], key=str)
     only_null = repeated_passages(spark.createDataFrame([(None, text), (None, text)], schema)).collect()
     assert [r.text for r in only_null] == [text, text]
+
+
+def passages(spark, texts, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in repeated_passages(docs, **options).orderBy("doc_id").collect()]
+
+
+def test_overlapping_passages_stay_whole_where_they_came_first(spark):
+    w, x, y = ("a line with enough letters " + c for c in "wxy")
+    out = passages(spark, [f"{x}\n{y}", f"{w}\n{x}\n{y}", f"{w}\n{x}"], whole_first=True)
+    assert out == [f"{x}\n{y}", f"{w}\n{x}", ""]
+
+
+def test_layout_is_no_passage(spark):
+    texts = ["alpha\n\n\nbeta", "gamma\n\n\ndelta", "if a:\n    }\n}\nfoo", "if b:\n    }\n}\nbar"]
+    assert passages(spark, texts, least_bytes=LEAST_BYTES, whole_first=True) == texts
+
+
+def plain_whole_first(texts, least):
+    first = {}
+    pairs = [list(zip(t.split("\n"), t.split("\n")[1:], strict=False)) for t in texts]
+    big = lambda p: len("".join("".join(p).split()).encode()) >= least
+    count = {}
+    for i, ps in enumerate(pairs):
+        for k, p in enumerate(ps):
+            if big(p):
+                first.setdefault(p, (i, k))
+                count[p] = count.get(p, 0) + 1
+    out = []
+    for i, ps in enumerate(pairs):
+        gone, stays = set(), set()
+        for k, p in enumerate(ps):
+            if big(p) and count[p] > 1:
+                j, at = first[p]
+                if (i, k) == (j, at):
+                    stays |= {k, k + 1}
+                elif j < i or k > at + 1:
+                    gone |= {k, k + 1}
+        out.append("\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in gone - stays))
+    return out
+
+
+def test_whole_first_against_plain(spark):
+    rng = random.Random(21)
+    words = ["aa", "bb", "a somewhat longer line here", "another line that is long", "", "}", "the third long line of them"]
+    texts = ["\n".join(rng.choices(words, k=rng.randrange(1, 9))) for _ in range(120)]
+    for least in (0, LEAST_BYTES):
+        out = passages(spark, texts, least_bytes=least, whole_first=True)
+        assert out == plain_whole_first(texts, least)
+    # what went anywhere still stands whole somewhere
+    kept = {p for t in out for p in zip(t.split("\n"), t.split("\n")[1:], strict=False)}
+    before = {p for t in texts for p in zip(t.split("\n"), t.split("\n")[1:], strict=False)}
+    assert {p for p in before if len("".join("".join(p).split())) >= LEAST_BYTES} <= kept

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from varstrata.plans.runtime import written
 
 AVERAGE_LINES = 4
+LEAST_BYTES = 20  # of a passage, without white space
+BLANKS = " \t\n\v\f\r"
 
 
 def _bounds(hashes: Column, average: int) -> Column:
@@ -139,16 +141,23 @@ def line_dedup(
     return kept.select(*columns, cleaning.alias("cleaning"))
 
 
-def _pairs(lines: Column) -> Column:
-    """Structs (code, h) of every two neighbouring lines: the first one's number from 0, and the SHA-256 of both."""
+def _pairs(lines: Column, least_bytes: int) -> Column:
+    """Structs (code, h) of every two neighbouring lines of enough bytes: the first one's number from 0, and the SHA-256 of both."""
     n = F.size(lines)
     both = lambda i: F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1))
+    at = F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0)))
+    if least_bytes:
+        at = F.filter(at, lambda i: F.octet_length(F.translate(both(i), BLANKS, "")) >= least_bytes)
     return F.when(n < 2, F.array().cast("array<struct<code: int, h: binary>>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: F.struct(i.alias("code"), F.unhex(F.sha2(F.encode(both(i), "utf-8"), 256)).alias("h")))
+        F.transform(at, lambda i: F.struct(i.alias("code"), F.unhex(F.sha2(F.encode(both(i), "utf-8"), 256)).alias("h")))
     )
 
 
-def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def _both_lines(codes: str) -> Column:
+    return F.array_union(codes, F.transform(codes, lambda c: c + 1))
+
+
+def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", least_bytes: int = 0, whole_first: bool = False) -> DataFrame:
     """Removes every run of two lines or more that occurred before, wherever it begins and ends; adds cleaning (struct of
     n_lines, n_chunks, removed_chunks, removed_lines; the chunks are all pairs of neighbouring lines).
 
@@ -156,6 +165,11 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     that goes always has an equal one earlier that stays or goes for a still earlier one, so that no line leaves the corpus. No boundaries are
     guessed: a passage that stands in otherwise different texts is found whole, also if it has two lines only.
 
+    least_bytes: two lines of fewer bytes, white space not counted, are no passage: pairs of blank lines or of braces stand in most texts and are layout.
+
+    whole_first: lines that the first copy of a repeated pair consists of stay, also if another pair would take them away. Without it, a passage's only copy left may lose lines to
+    another passage that overlaps it, though each of its lines stays somewhere. With it, every pair of lines that is removed anywhere stands whole where it occurred first.
+
     Pairs are counted by their SHA-256, so that no text is shuffled for the count; the corpus is shuffled once, for the removal.
 
     Nulls, ids, repeated rows, empty tables and other columns are treated as by ``line_dedup``.
@@ -163,7 +177,7 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     docs = docs.drop("cleaning")
     key = F.xxhash64(F.coalesce(text, F.lit("")))
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    source = docs.select(F.col(id).alias("__id"), key.alias("__key"), _once(lines, _pairs).alias("__pairs"))
+    source = docs.select(F.col(id).alias("__id"), key.alias("__key"), _once(lines, lambda x: _pairs(x, least_bytes)).alias("__pairs"))
     places = source.select("__id", "__key", F.explode_outer("__pairs").alias("c")).select("__id", "__key", "c.code", "c.h").filter("code is not null")
     counted = places.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("first_id"))
     repeated = written(counted.filter("n > 1").select("h", "first_id"), "repeated")
@@ -173,8 +187,12 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
     others = found.filter(~own).select("__id", "__key", "code")
     first = found.filter(own).groupBy("__id", "__key", "h").agg(F.collect_set("code").alias("codes"))
     again = first.select("__id", "__key", F.explode(F.filter("codes", lambda c: c > F.array_min("codes") + 1)).alias("code"))
-    lost = others.unionByName(again)
-    per_row = written(lost.groupBy("__id", "__key").agg(F.collect_set("code").alias("__lost")), "lost")
+    lost = others.unionByName(again).withColumn("stays", F.lit(None).cast("int"))
+    if whole_first:
+        stays = first.select("__id", "__key", F.lit(None).cast("int").alias("code"), F.array_min("codes").alias("stays"))
+        lost = lost.unionByName(stays)
+    sets = lost.groupBy("__id", "__key").agg(F.collect_set("code").alias("__lost"), F.collect_set("stays").alias("__stays"))
+    per_row = written(sets.filter(F.size("__lost") > 0), "lost")
 
     marked = docs.withColumn("__key", key).alias("d").join(
         per_row.withColumnRenamed("__key", "__lost_key").hint("merge").alias("l"),
@@ -182,7 +200,7 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -
         "left",
     )
     every = marked.drop("__id", "__lost_key", "__key").withColumn("__lines", lines)
-    gone = F.array_union("__lost", F.transform("__lost", lambda c: c + 1))
+    gone = F.array_except(_both_lines("__lost"), _both_lines("__stays"))
     cut = every.withColumn("__kept", F.when(F.col("__lost").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), gone)))
     clean = _once(F.col("__lines"), lambda lines: F.array_join(F.transform("__kept", lambda i: F.get(lines, i)), "\n"))
     n = F.size("__lines")
