@@ -24,8 +24,8 @@ WINDOW = 24  # longer words are several, each this long and half overlapping
 LANDMARKS = 48
 NEAR = 0.55**SHARPNESS  # landmarks are less alike than this
 TRAINING_ROWS = 20_000
-CACHED_WORDS = 1_000_000  # without marks around them; few have values
-CACHED_FORMS = 200_000  # as they stand in texts
+CACHED_WORDS = 500_000  # without marks around them; few have values
+CACHED_FORMS = 150_000  # as they stand in texts
 TEXT_CHARS = 1_000_000
 _SPELLED = re.compile(r"(?<!\S)(?:\w\s){3,}\w(?!\S)")
 _EDGES = string.punctuation + "«»“”„’‘…¿¡–—"
@@ -132,7 +132,7 @@ def _triples(landmarks: tuple[str, ...]) -> Triples:
     return Triples(list(landmarks))
 
 
-TRIPLES_TOGETHER = 400_000
+TRIPLES_TOGETHER = 100_000
 
 
 def alike(words: list[str], landmarks: list[str], least: float = SILENT) -> np.ndarray:
