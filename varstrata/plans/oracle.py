@@ -250,4 +250,5 @@ ORACLE: dict[str, str] = {
     "stream_reservoir": sample(*EVENTS, 50, "event_id", "event_id, event_type, value, s"),
     "stream_reservoir_table": sample(*EVENTS, 50, "event_id", "event_id, event_type, value, s"),
     "stream_word_count": WORDS,
+    "stream_word_count_levels": WORDS,
 }

@@ -29,6 +29,7 @@ from varstrata.plans.runtime import materialize, scratch_path
 from varstrata.sources import delimited, nested, records
 from varstrata.streaming.carried import carried_to
 from varstrata.streaming.joined import stream_sample_to
+from varstrata.streaming.levels import level_counts_to
 from varstrata.streaming.reservoir import admitted_to, reservoir_sample, reservoir_to
 from varstrata.streaming.runner import append_to, table_stream, with_event_time
 from varstrata.streaming.windows import cumulative_to, totals_to, window_gamma, windows_to
@@ -539,3 +540,8 @@ def stream_reservoir_table(spark, sf_dir):
 @query
 def stream_word_count(spark, sf_dir):
     return counts_to(stream(spark, sf_dir, "documents"), **sink(spark))
+
+
+@query
+def stream_word_count_levels(spark, sf_dir):
+    return level_counts_to(stream(spark, sf_dir, "documents"), **sink(spark))
