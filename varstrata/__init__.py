@@ -2,6 +2,7 @@
 
 from varstrata.functions.columns import Roles, resolve_roles
 from varstrata.operators.allocate import allocation, rows_with_allocation, windowed_allocation, with_quota
+from varstrata.operators.apportion import apportioned, apportioned_allocation
 from varstrata.operators.sample import (
     first_fill_allocated,
     first_fill_sample,
@@ -22,6 +23,8 @@ from varstrata.operators.words import word_count
 __all__ = [
     "Roles",
     "allocation",
+    "apportioned",
+    "apportioned_allocation",
     "cumulative_stats",
     "first_fill_allocated",
     "first_fill_sample",

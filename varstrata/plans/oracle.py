@@ -28,6 +28,27 @@ def quotas(table: str, keys: str, x: str, m: int, *, gamma: str | None = None, l
     )
 
 
+def apportioned(table: str, keys: str, x: str, m: str) -> str:
+    """Water-filling by running sums: the level is the highest that any stratum sees if all of smaller ``n / gamma`` are full."""
+    by_ratio = f"over (order by n / w, {keys} rows between"
+    return (
+        f"with stats as ({stats(table, keys, x)}),"
+        f" weighed as (select *, case when gamma > 0 then gamma else 0 end as w, cast({m} as bigint) as m from stats),"
+        f" running as (select {keys}, (m - coalesce(sum(n) {by_ratio} unbounded preceding and 1 preceding), 0))"
+        f" / sum(w) {by_ratio} current row and unbounded following) as level from weighed where w > 0),"
+        " known as (select *, (select max(level) from running) as level, sum(n) over () as rows,"
+        " coalesce(sum(n) filter (where w > 0) over (), 0) as varied from weighed),"
+        " budgets as (select *, greatest(0, least(m, rows)) as budget from known),"
+        " shares as (select *, case when varied >= budget then least(cast(n as double), w * coalesce(level, 0)) when w > 0 then n"
+        " else cast(n as double) * (budget - varied) / (rows - varied) end as share from budgets),"
+        " based as (select *, floor(share + 1e-9) as base, round(share - floor(share + 1e-9), 9) as rest from shares),"
+        " placed as (select *, row_number() over (order by base < n desc, rest desc, "
+        + ", ".join(f"{k} nulls first" for k in keys.split(", "))
+        + ") as place, budget - sum(base) over () as spare from based),"
+        " alloc as (select *, cast(base + case when place <= spare then 1 else 0 end as bigint) as s from placed)"
+    )
+
+
 def sample(table: str, keys: str, x: str, m: int, id: str, columns: str) -> str:
     of_key = ", ".join(f"r.{k}" for k in keys.split(", "))
     rank = f"md5(concat_ws('|', '42', cast(r.{id} as varchar)))"
@@ -170,6 +191,13 @@ ORACLE: dict[str, str] = {
         *CUSTOMERS, 500, gamma=guarded("abs(avg(c_acctbal))", "stddev_pop(c_acctbal)"), least=1
     )
     + f" select c_nationkey, c_mktsegment, n, {r6('gamma', 'total_gamma')}, s from alloc",
+    "allocation_whole_budget": apportioned("orders", "o_custkey", "o_totalprice", "(select count(*) * 2 // 3 from orders)")
+    + f" select o_custkey, n, {r6('gamma')}, s from alloc",
+    "allocation_whole_budget_spent": apportioned(
+        "(select *, coalesce(case when o_custkey % 3 > 0 then o_totalprice end, 0) as price from orders)", "o_orderpriority, o_custkey", "price",
+        "(select count(*) * 9 // 10 from orders)",
+    )
+    + " select o_orderpriority, o_custkey, n, s from alloc",
     "rows_with_allocation_events": f"{quotas(*EVENTS, 50)} select event_id, event_type, n, s"
     " from events join alloc using (event_type)",
     "stratified_sample_orders": sample(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from varstrata.functions.columns import lenient_double
 from varstrata.operators.allocate import allocation, rows_with_allocation, with_quota
+from varstrata.operators.apportion import apportioned_allocation
 from varstrata.operators.sample import (
     first_fill_sample,
     sample_allocated,
@@ -185,6 +186,22 @@ def allocation_absolute_means(spark, sf_dir):
     return alloc.select("c_nationkey", "c_mktsegment", "n", *rounded("gamma", "total_gamma"), "s")
 
 
+@query
+def allocation_whole_budget(spark, sf_dir):
+    # the strata of highest variation are small and taken whole; customers with a single order vary not at all
+    orders = table(spark, sf_dir, "orders")
+    alloc = apportioned_allocation(orders, "o_custkey", "o_totalprice", orders.count() * 2 // 3)
+    return alloc.select("o_custkey", "n", *rounded("gamma"), "s")
+
+
+@query
+def allocation_whole_budget_spent(spark, sf_dir):
+    # a budget that takes all strata with variation, and some rows of those without
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_custkey", F.when(F.col("o_custkey") % 3 > 0, F.col("o_totalprice")).alias("price"))
+    alloc = apportioned_allocation(orders, "o_orderpriority,o_custkey", "price", orders.count() * 9 // 10)
+    return alloc.select("o_orderpriority", "o_custkey", "n", "s")
+
+
 @query
 def rows_with_allocation_events(spark, sf_dir):
     events = table(spark, sf_dir, "events")
