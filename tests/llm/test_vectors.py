@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from varstrata.llm.quantised import Tile, embedding_near_duplicates, links
-from varstrata.llm.topk import Side, best_in_block, segment_statistics, top_k
+from varstrata.llm.topk import Side, best_in_block, levels, segment_statistics, top_k
 from pyspark.sql import functions as F
 
 SCHEMA = "vec_id long, embedding array<float>, label int, g string"
@@ -100,3 +100,39 @@ def test_statistics_bound():
     side = Side(np.arange(50), x.astype(np.int64), (4, 16))
     q, r, s = best_in_block(side, side, 3)
     assert (q != r).all() and len(q) == 150
+
+
+def test_large_components_are_exact(spark):
+    """Scores up to the end of 64 bits are exact, and beyond it cut off; no finite vector is left out."""
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.normal(size=4)], 0, "") for i in range(60)]
+    rows += [(61, [2.0**21, 1.0, 0.0, -1.0], 0, ""), (100, [2.0**30, 2.0**23 + 1, 3.0, -0.25], 0, ""), (63, [2.0**15, 2.0**20, -1.0, 0.5], 0, "")]
+    rows += [(200, [1e30, 0.0, 1.0, 1.0], 0, ""), (67, [-3e38, 1.0, 1.0, 1.0], 0, ""), (69, [1e300, 1e-300, 0.0, 0.0], 0, "")]
+    frame = spark.createDataFrame([r[:2] for r in rows], "vec_id long, embedding array<double>")
+    edge = 2**63 - 1
+
+    def whole(v):
+        return [min(max(int(np.floor(256 * x)), -edge), edge) for x in v]
+
+    want = []
+    for q, v, *_ in rows:
+        if q % 50 == 0:
+            scores = sorted((-min(max(sum(x * y for x, y in zip(whole(v), whole(w))), -edge - 1), edge), i) for i, w, *_ in rows if i != q)
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:5])]
+    for sizes in ((2, 7), (None, 4096)):
+        out = top_k(frame, F.col("vec_id") % 50 == 0, query_block=sizes[0], block=sizes[1]).collect()
+        assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out) == sorted(want)
+
+
+def test_floors_and_levels_exclude_pairs():
+    """A floor from elsewhere leaves fewer pairs, level by level, and never one that reaches it."""
+    rng = np.random.default_rng(3)
+    x, y = (np.floor(256 * v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.int64) for v in (rng.normal(size=(300, 64)), rng.normal(size=(2000, 64))))
+    queries, rows = Side(np.arange(300), x, levels(64)), Side(np.arange(1000, 3000), y, levels(64))
+    scores = x @ y.T
+    own, floor = [0] * 4, np.sort(scores, 1)[:, -1].astype(float)
+    best_in_block(queries, rows, 5, left=own)
+    left = [0] * 4
+    q, r, s = best_in_block(queries, rows, 5, floor, left)
+    assert left[0] >= left[1] >= left[2] > left[3] and left[3] < own[3] < own[0] / 1.5
+    assert (np.bincount(q, minlength=300) >= 1).all() and (s == scores[q, r]).all() and (s >= floor[q]).sum() == 300
