@@ -43,14 +43,19 @@ class Side:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, resolutions: tuple[int, ...]):
         self.ids, self.vectors = ids, vectors
-        plain = vectors.astype(np.float64)
-        self.statistics = [np.hstack(segment_statistics(plain, s)) for s in resolutions]
-        self.length = np.sqrt((plain * plain).sum(1))
+        self.plain = vectors.astype(np.float64)
+        self.statistics = [np.hstack(segment_statistics(self.plain, s)) for s in resolutions]
+        self.length = np.sqrt((self.plain * self.plain).sum(1))
 
 
 def products(queries: Side, rows: Side, q: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """The exact inner products of pairs, cut off at the ends of 64 bits."""
+    """The exact inner products of pairs, ordered by query, cut off at the ends of 64 bits."""
     out = np.empty(len(q), np.int64)
+    if not len(q):
+        return out
+    part = slice(q[0], q[-1] + 1)
+    if len(q) > SPARSE * (part.stop - part.start) * len(rows.ids) and queries.length[part].max() * rows.length.max() < 2.0**52:
+        return (queries.plain[part] @ rows.plain.T)[q - part.start, r].astype(np.int64)  # doubles hold such whole numbers exactly
     for low in range(0, len(q), 65_536):
         a, b = q[low:low + 65_536], r[low:low + 65_536]
         out[low:low + len(a)] = np.einsum("ij,ij->i", queries.vectors[a], rows.vectors[b])
@@ -61,8 +66,8 @@ def products(queries: Side, rows: Side, q: np.ndarray, r: np.ndarray) -> np.ndar
     return out
 
 
-def survivors(queries: Side, rows: Side, part: slice, k: int, floor: np.ndarray, left: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of a slice of queries that no bound excludes; ``left`` counts all pairs and those left by each level.
+def survivors(queries: Side, rows: Side, part: slice, k: int, floor: np.ndarray, left: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of a slice of queries that no bound excludes, and the queries' floors; ``left`` counts all pairs and those left by each level.
 
     A query without a floor gets one: the k-th of the exact scores of the pairs with the highest bounds of the finest level.
     """
@@ -88,7 +93,7 @@ def survivors(queries: Side, rows: Side, part: slice, k: int, floor: np.ndarray,
             open_ &= bound >= known[:, None]
         left[level + 1] += int(open_.sum())
     q, r = np.nonzero(open_)
-    return q + part.start, r
+    return q + part.start, r, known
 
 
 def best_in_block(
@@ -102,8 +107,10 @@ def best_in_block(
     left = [0] * (len(queries.statistics) + 1) if left is None else left
     found = []
     for low in range(0, len(queries.ids), SLICE):
-        q, r = survivors(queries, rows, slice(low, min(low + SLICE, len(queries.ids))), k, floor, left)
+        q, r, known = survivors(queries, rows, slice(low, min(low + SLICE, len(queries.ids))), k, floor, left)
         exact = products(queries, rows, q, r)
+        reach = exact.astype(np.float64) >= known[q - low]
+        q, r, exact = q[reach], r[reach], exact[reach]
         order = np.lexsort((rows.ids[r], -np.clip(exact, -(2**63) + 1, None), q))
         q, r, exact = q[order], r[order], exact[order]
         start = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else q
