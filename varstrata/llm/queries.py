@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varstrata.llm.bpe import bpe_encode
-from varstrata.llm.linededup import LEAST_BYTES, repeated_passages
+from varstrata.llm.linechunks import chunk_dedup
 from varstrata.llm.merkle import folded, leaf, merkle_manifest, siblings_digest
 from varstrata.llm.minhash import near_duplicates
 from varstrata.llm.mixing import mix
@@ -40,8 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = repeated_passages(docs, least_bytes=LEAST_BYTES, whole_first=True)
-    return kept.select(
+    return chunk_dedup(docs).select(
         "doc_id", "cleaning.n_lines", "cleaning.n_chunks", "cleaning.removed_chunks", "cleaning.removed_lines",
         F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256).alias("kept_sha256"),
     )
