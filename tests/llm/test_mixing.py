@@ -88,3 +88,28 @@ def test_odd_rows(spark):
     assert len(out) == 5 and len({(r.place.slot, r.place.at) for r in out}) == 5
     zero = spark.createDataFrame([("x", 0.0)], "source string, weight double")
     assert mix(spark.createDataFrame([(1, "x"), (2, "y")], schema), weights=zero).count() == 2
+
+
+def test_many_sources(spark):
+    """Ten thousand sources: one of half the weight keeps it at every point, and no source is a block or more off."""
+    weights = spark.range(10_000).selectExpr("concat('s', id) source", "if(id = 0, 9999.0, 1.0 + id % 2) n")
+    table = target_shares(weights, temperature=1.0)
+    shares = {r.source: (r.a, r.p) for r in table.collect()}
+    slots = [r.source for r in period_slots(table).orderBy("slot").collect()]
+    a, p = shares["s0"]
+    assert abs(a / p - 9999 / (9999 + 1.5 * 10_000)) < 0.01 and len(slots) == p == sum(x for x, _ in shares.values())
+    done = Counter()
+    for t, s in enumerate(slots, 1):
+        done[s] += 1
+        assert abs(done[s] - t * shares[s][0] / p) < 1
+        assert abs(done["s0"] - t * a / p) < 1
+    assert done == {s: x for s, (x, _) in shares.items()}
+
+
+def test_rows_without_id_are_spread(spark):
+    docs = spark.range(2000).selectExpr("cast(null as long) doc_id", "'s' source", "concat('text ', id) text", "map('a', id) m")
+    out = mix(docs).collect()
+    assert len(out) == 2000 and len({(r.place.slot, r.place.at) for r in out}) == 2000
+    assert [r.text for r in sorted(out, key=lambda r: (r.place.slot, r.place.at))] != sorted(r.text for r in out)
+    again = mix(docs.repartition(5)).collect()
+    assert {(r.text, r.place.slot, r.place.at) for r in out} == {(r.text, r.place.slot, r.place.at) for r in again}

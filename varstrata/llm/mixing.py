@@ -7,9 +7,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from varstrata.llm.linededup import _once
 from varstrata.plans.runtime import written
 
 PERIOD = 1000
+BLOCKS = 20  # of a source in one period on average, at least
+BROADCAST_ROWS = 1_000_000  # of a schedule
 
 
 def target_shares(sizes: DataFrame, source: str = "source", period: int = PERIOD, weights: DataFrame | None = None,
@@ -18,7 +21,8 @@ def target_shares(sizes: DataFrame, source: str = "source", period: int = PERIOD
 
     sizes: (source, n) with the rows of each source. weights: (source, weight), relative numbers, zero or more; without
     it a source's weight is its size to the power ``temperature``. Weights are rounded to 1/period, but a source never
-    gets less than one block of a period, so every row finds a place.
+    gets less than one block of a period, so every row finds a place. With many sources the period is longer, ``BLOCKS`` times their
+    number, so that such single blocks take a twentieth of it at most.
     """
     if weights is None:
         shares = sizes.select(source, F.pow(F.col("n"), F.lit(temperature)).alias("weight"))
@@ -32,13 +36,15 @@ def target_shares(sizes: DataFrame, source: str = "source", period: int = PERIOD
     table = shares.agg(F.collect_list(F.struct(F.col(source).alias("s"), F.col("weight").cast("double").alias("w"))).alias("t"))
     total = F.aggregate("t", F.lit(0.0), lambda sum, x: sum + x["w"])
 
-    def blocks(x: Column) -> Column:
-        part = F.when(F.col("total") > 0, x["w"] / F.col("total")).otherwise(F.lit(0.0))
-        return F.struct(x["s"].alias(source), F.greatest(F.lit(1), F.round(part * period).cast("int")).alias("a"))
+    def blocks(x: Column, sum: Column) -> Column:
+        part = F.when(sum > 0, x["w"] / sum).otherwise(F.lit(0.0))
+        return F.struct(x["s"].alias(source), F.greatest(F.lit(1), F.round(part * F.greatest(F.lit(period), F.size("t") * BLOCKS)).cast("int")).alias("a"))
 
-    whole = table.withColumn("total", total).select(F.transform("t", blocks).alias("t"))
-    p = F.aggregate("t", F.lit(0), lambda sum, x: sum + x["a"])
-    return whole.select("t", p.alias("p")).select(F.explode("t").alias("x"), "p").select("x.*", "p")
+    # bound once for the row, not for each source
+    whole = table.select(_once(total, lambda sum: F.transform("t", lambda x: blocks(x, sum))).alias("t"))
+    numbered = _once(F.col("t"), lambda t: _once(F.aggregate(t, F.lit(0), lambda sum, x: sum + x["a"]), lambda p: F.transform(
+        t, lambda x: F.struct(x[source].alias(source), x["a"].alias("a"), p.alias("p")))))
+    return whole.select(F.explode(numbered).alias("x")).select("x.*")
 
 
 def _release(k: Column, a: Column, p: Column) -> Column:
@@ -58,29 +64,46 @@ def period_slots(shares: DataFrame, source: str = "source") -> DataFrame:
     source at equal deadlines. As block k of a source may run from floor(k/w) and must run before ceil((k+1)/w), at the
     end of each slot each source has run less than one block more or less than its weight asks for. All windows repeat
     after p slots, so one period is the whole schedule; its size depends on ``period`` and the number of sources only.
+
+    Sources of equal weight have equal windows: their k-th blocks run one after another, all before any of the next. So a step has to look at
+    one counter for each distinct a, of which there are fewer than sqrt(2 p), and block c of m such sources is block c / m of source c % m. Slots are folded
+    in stretches of about sqrt(p), so that a step copies no more than one stretch.
     """
-    table = shares.agg(F.sort_array(F.collect_list(F.struct(F.col("a"), F.col(source).alias("s")))).alias("t"), F.max("p").alias("p"))
-    zero = F.struct(F.transform("t", lambda x: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("runs"))
+    named = written(shares.select("a", "p", F.col(source).alias("__s")), "shares")
+    numbered = named.withColumn("__i", F.row_number().over(Window.partitionBy("a").orderBy(F.col("__s").asc_nulls_first())) - 1)
+    classes = named.groupBy("a").agg(F.count(F.lit(1)).cast("int").alias("m"), F.max("p").alias("p"))
+    table = classes.agg(F.sort_array(F.collect_list(F.struct("a", "m"))).alias("t"), F.max("p").alias("p"))
 
     def step(state: Column, slot: Column) -> Column:
         def window(x: Column, i: Column) -> Column:
-            k = F.get(state["done"], i)
+            done = F.get(state["done"], i)
+            k = F.floor(done / x["m"])
             open_ = (k < x["a"]) & (_release(k, x["a"], F.col("p")) <= slot)
-            return F.when(open_, F.struct(_deadline(k, x["a"], F.col("p")).alias("d"), i.alias("i")))
+            return F.when(open_, F.struct(_deadline(k, x["a"], F.col("p")).alias("d"), i.alias("i"), done.alias("c")))
 
-        pick = F.array_min(F.transform("t", window))["i"]
-        return F.struct(
-            F.transform(state["done"], lambda n, i: F.when(i == pick, n + 1).otherwise(n)).alias("done"),
-            F.concat(state["runs"], F.array(pick)).alias("runs"),
-        )
+        return _once(F.array_min(F.transform("t", window)), lambda pick: F.struct(
+            F.transform(state["done"], lambda n, i: F.when(i == pick["i"], n + 1).otherwise(n)).alias("done"),
+            F.concat(state["runs"], F.array(F.struct(pick["i"].alias("i"), pick["c"].alias("c")))).alias("runs"),
+        ))
+
+    none = F.array().cast("array<struct<i: int, c: int>>")
+    stretch = F.ceil(F.sqrt("p")).cast("int")
+
+    def some(state: Column, first: Column) -> Column:
+        slots = F.sequence(first, F.least(first + stretch, F.col("p")) - 1)
+        return _once(F.aggregate(slots, F.struct(state["done"].alias("done"), none.alias("runs")), step), lambda after: F.struct(
+            after["done"].alias("done"), F.concat(state["runs"], F.array(after["runs"])).alias("runs")))
 
+    start = F.struct(F.transform("t", lambda x: F.lit(0)).alias("done"), F.array().cast("array<array<struct<i: int, c: int>>>").alias("runs"))
     runs = table.filter("p > 0").select(
-        "t", "p", F.aggregate(F.sequence(F.lit(0), F.col("p") - 1), zero, step, lambda state: state["runs"]).alias("runs")
+        "t", "p", F.flatten(F.aggregate(F.sequence(F.lit(0), F.col("p") - 1, stretch), start, some, lambda state: state["runs"])).alias("runs")
     )
-    slots = runs.select("t", "p", F.posexplode("runs").alias("slot", "i")).select(
-        F.get("t", F.col("i"))["s"].alias(source), F.get("t", F.col("i"))["a"].alias("a"), "p", F.col("slot").cast("long").alias("slot")
-    )
-    return slots.withColumn("k", F.row_number().over(Window.partitionBy(source).orderBy("slot")) - 1)
+    # the fold is written, as it would be repeated in filters and projections made of it
+    told = written(runs.select("t", "p", F.posexplode("runs").alias("slot", "x")).select(
+        F.get("t", F.col("x.i"))["a"].alias("a"), F.get("t", F.col("x.i"))["m"].alias("m"), F.col("x.c").alias("c"), F.col("slot").cast("long").alias("slot")
+    ), "runs")
+    placed = told.select("a", (F.col("c") % F.col("m")).alias("__i"), F.floor(F.col("c") / F.col("m")).cast("int").alias("k"), "slot")
+    return placed.join(numbered, ["a", "__i"]).select(F.col("__s").alias(source), "a", "p", "slot", "k")
 
 
 def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: DataFrame | None = None, block_rows: int = 16,
@@ -96,14 +119,16 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
     Numbering within a source does not gather the source: rows are dealt by source and a range of the hash, about
     sqrt(n) rows each, numbered there, and raised by the counts of the earlier ranges.
 
-    Null sources are a source of their own; null ids share a place by hash and are told apart arbitrarily but without
-    loss; repeated rows get places one after another; an empty table gives an empty result. Columns of other names are
+    The schedule is broadcast up to ``BROADCAST_ROWS`` rows and joined by source and block otherwise.
+
+    Null sources are a source of their own; rows of null id are dealt by a hash of their other columns; repeated rows get places one after another; an empty table gives an empty result. Columns of other names are
     carried along; a column named place is replaced.
     """
     rows = rows.drop("place")
     n = rows.count()
     ranges = max(1, math.isqrt(n))
-    r = F.xxhash64(F.lit(seed), F.col(id))
+    others = [F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    r = F.when(F.col(id).isNull(), F.xxhash64(F.lit(seed), *others)).otherwise(F.xxhash64(F.lit(seed), F.col(id)))
     # the hash as a number from 0 to 1 names the range
     part = F.floor((r.cast("double") / F.lit(2.0**64) + 0.5) * ranges).cast("long")
     keyed = rows.withColumn("__r", r).withColumn("__range", F.least(F.greatest(part, F.lit(0)), F.lit(ranges - 1)))
@@ -115,22 +140,20 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
         weights = weights.withColumnRenamed(source, "__source")
     slots = written(period_slots(target_shares(sizes, "__source", period, weights, temperature), "__source"), "slots")
 
+    shares = slots.groupBy("__source").agg(F.max("a").alias("__a"), F.max("p").alias("__p"))
+    offsets = offsets.alias("b").join(shares.alias("h"), F.col("b.__source").eqNullSafe(F.col("h.__source"))).select("b.*", "__a", "__p")
     same = F.col(source).eqNullSafe(F.col("o.__source")) & (F.col("r.__range") == F.col("o.__range"))
     numbered = (
         keyed.withColumn("__at", F.row_number().over(Window.partitionBy(source, "__range").orderBy("__r", id)) - 1)
         .alias("r").join(offsets.alias("o"), same)
-        .select(*[F.col("r." + f"`{c}`") for c in rows.columns], (F.col("__before") + F.col("__at")).alias("__at"))
+        .select(*[F.col("r." + f"`{c}`") for c in rows.columns], (F.col("__before") + F.col("__at")).alias("__at"), "__a", "__p")
         .withColumn("__block", F.floor(F.col("__at") / block_rows).cast("long"))
+        .withColumn("__k", (F.col("__block") % F.col("__a")).cast("int"))
     )
-    # a, p and the slots are one period: at most ``period`` rows and one for each source
-    shares = slots.select("__source", F.col("a").alias("__a"), F.col("p").alias("__p")).distinct()
-    with_share = numbered.alias("r").join(
-        F.broadcast(shares).alias("h"), F.col(source).eqNullSafe(F.col("h.__source"))
-    ).drop("__source").withColumn("__k", (F.col("__block") % F.col("__a")).cast("int"))
-    placed = with_share.join(
-        F.broadcast(slots.select("__source", F.col("k").alias("__pk"), F.col("slot").alias("__slot"))),
-        F.col(source).eqNullSafe(F.col("__source")) & (F.col("__k") == F.col("__pk")),
-    )
+    schedule = slots.select("__source", F.col("k").alias("__pk"), F.col("slot").alias("__slot"))
+    if slots.count() <= BROADCAST_ROWS:
+        schedule = F.broadcast(schedule)
+    placed = numbered.join(schedule, F.col(source).eqNullSafe(F.col("__source")) & (F.col("__k") == F.col("__pk")))
     place = F.struct(
         F.col("__block").alias("block"),
         _release(F.col("__block"), F.col("__a"), F.col("__p")).alias("release"),
