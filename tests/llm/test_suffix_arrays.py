@@ -30,6 +30,19 @@ def test_suffix_array(induce, monkeypatch):
         assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+def test_doubled_ranks(monkeypatch):
+    for text in texts():
+        if text:
+            assert suffix._double_ranks(np.array(text, np.int64)).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    # suffix by suffix takes half of a shard's time: no text of bytes, however deep its repeats, may need it
+    monkeypatch.setattr(suffix, "_induce_steps", None)
+    rng = np.random.default_rng(3)
+    word = rng.integers(97, 123, 5000)
+    text = np.concatenate([word, rng.integers(97, 123, 5000), word, word])
+    raw = text.astype(np.uint8).tobytes()
+    assert suffix_array(text).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+
+
 def test_common_prefixes():
     for text in texts():
         text = np.array(text, np.int64)

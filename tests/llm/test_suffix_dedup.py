@@ -1,10 +1,12 @@
 """Removal of repeated strings against counting all windows."""
 
 import random
+import uuid
 from collections import Counter
 
 import pytest
 
+from varstrata.llm import suffix
 from varstrata.llm.suffix import suffix_dedup
 
 
@@ -65,3 +67,21 @@ def test_long_texts_and_default_length(spark):
 
 def test_empty(spark):
     assert suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_segments_are_found_once(spark, monkeypatch, tmp_path):
+    """The counts and the join read the same segments: texts are cut and hashed once."""
+    find = suffix._occurrences
+
+    def watched(docs, length, gram):
+        def note(batches):
+            (tmp_path / uuid.uuid4().hex).touch()
+            yield from batches
+
+        found = find(docs.coalesce(1), length, gram)
+        return found.mapInArrow(note, found.schema)
+
+    monkeypatch.setattr(suffix, "_occurrences", watched)
+    docs = spark.createDataFrame(list(enumerate(corpus(7, 20))), "doc_id long, text string")
+    suffix_dedup(docs, length=20, gram=6).collect()
+    assert len(list(tmp_path.iterdir())) == 1

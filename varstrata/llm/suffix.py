@@ -123,6 +123,30 @@ def _induce_steps(text: np.ndarray, small: np.ndarray, sigma: int, lms: np.ndarr
     return np.array(order, np.int64)
 
 
+def _double_ranks(text: np.ndarray) -> np.ndarray:
+    """The order of all suffixes of a text of any letters: ranks by the first letter, then by the first 2, 4, 8, ...
+
+    A rank is the place of the first suffix that has it; only suffixes that still share one are sorted again.
+    """
+    n = len(text)
+    order = np.argsort(text, kind="stable")
+    rank = np.empty(n, np.int64)
+    at, key, step = np.arange(n), text[order], 1
+    while True:
+        new = np.append(True, key[1:] != key[:-1])
+        first = np.flatnonzero(new)
+        rank[order[at]] = np.repeat(at[first], np.diff(np.append(first, len(at))))
+        at = at[~(new & np.append(new[1:], True))]
+        if not len(at):
+            return order
+        who = order[at]
+        follower = np.where(who + step < n, rank[np.minimum(who + step, n - 1)] + 1, 0)  # the end of the text precedes all
+        key = rank[who] * (n + 1) + follower
+        by_key = np.argsort(key, kind="stable")
+        order[at], key = who[by_key], key[by_key]
+        step *= 2
+
+
 def _smaller(text: np.ndarray) -> np.ndarray:
     """Which suffixes are less than the next one; the last is not."""
     n = len(text)
@@ -132,10 +156,10 @@ def _smaller(text: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """The order of all suffixes of a text of whole numbers from 0, by induced sorting, in linear time.
+    """The order of all suffixes of a text of whole numbers from 0, by induced sorting.
 
     Suffixes are classified as less or greater than their successors. The leftmost of each run of lesser ones divide the text into substrings,
-    which are sorted by inducing, named, and, where names repeat, sorted as suffixes of the text of their names, recursively.
+    which are sorted by inducing, named, and, where names repeat, sorted as suffixes of the text of their names, by doubled ranks.
     """
     text = np.asarray(text, np.int64)
     n = len(text)
@@ -169,7 +193,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     names = np.empty(len(lms), np.int64)
     names[number[found]] = np.append(0, np.cumsum(~equal))
     if names.max() + 1 < len(lms):
-        ranked = lms[suffix_array(names)]
+        ranked = lms[_double_ranks(names)]
     else:
         ranked = np.empty(len(lms), np.int64)
         ranked[names] = lms
@@ -365,7 +389,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, mos
     4. An anchor with more than ``most`` different segments is not sorted in one place: its segments are cut around ever larger common cores first,
        and 1 to 3 are done with those. At the last step a core is a window.
     """
-    occurrences = _occurrences(docs, length, gram)
+    occurrences = written(_occurrences(docs, length, gram), "occurrences")  # read twice, for the counts and for the join
     done = []
     for block in (*BLOCKS, 0):
         groups = occurrences.groupBy("h").agg(F.count(F.lit(1)).alias("times"), F.min("c").alias("low"), F.max("c").alias("high"))
