@@ -62,12 +62,12 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids, decoded_sha256, slot, at): the packed ids of each document, a hash of what they decode to, and its place in the mixture.
 
     Files are read in order of size, not of name, so the place is computed again: ``mix`` gives the same for the same rows. Ordered by (slot, at), rows
-    are the mixture; written files hold it in name order.
+    are the mixture; written files hold it in name order. Slots are counted without the texts, so that codes are made once and go straight to their files.
     """
     mixed = mix(docs.select("doc_id", "source", "text"))
     coded = bpe_encode(mixed.select("doc_id", "source", "text", "place"), VOCABULARY, decoded=True)
     placed = coded.select("doc_id", "source", "n_tokens", "ids", F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"), "place")
-    return in_order(written(placed, "encoded"), keep_place=True).select("doc_id", "source", "n_tokens", "ids", "decoded_sha256", "place.slot", "place.at")
+    return in_order(placed, keep_place=True, places=mixed).select("doc_id", "source", "n_tokens", "ids", "decoded_sha256", "place.slot", "place.at")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -1,10 +1,12 @@
 """Mixtures: deviation from the weights, wholeness, and the schedule against a plain simulation."""
 
 import random
+import re
 from collections import Counter
 
 
 from varstrata.llm.mixing import in_order, mix, period_slots, target_shares
+from varstrata.plans.runtime import settings
 
 
 def simulate(shares):
@@ -113,3 +115,11 @@ def test_rows_without_id_are_spread(spark):
     assert [r.text for r in sorted(out, key=lambda r: (r.place.slot, r.place.at))] != sorted(r.text for r in out)
     again = mix(docs.repartition(5)).collect()
     assert {(r.text, r.place.slot, r.place.at) for r in out} == {(r.text, r.place.slot, r.place.at) for r in again}
+
+
+def test_texts_are_shuffled_once(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        mixed = mix(rows_of(spark, 300))
+        plan = mixed._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: (\[.*\])", plan)
+    assert sum("text#" in columns for columns in exchanges) == 1

@@ -1,5 +1,7 @@
 """The stages on small documents, each against a plain version on its own input."""
 
+import uuid
+
 import numpy as np
 import pytest
 
@@ -103,3 +105,24 @@ def test_order_survives_files_of_unequal_size(spark, tmp_path):
     assert [r.doc_id for r in rows] == want
     files = sorted((tmp_path / "coded").glob("part-*.parquet"))
     assert [r.doc_id for f in files for r in spark.read.parquet(str(f)).collect()] == want
+
+
+def test_codes_are_made_once_and_not_written_aside(spark, stages, monkeypatch, tmp_path):
+    encode = corpus_pipeline.bpe_encode
+
+    def watched(docs, *args, **kwargs):
+        def note(batches):
+            (tmp_path / uuid.uuid4().hex).touch()
+            yield from batches
+
+        coded = encode(docs.coalesce(1), *args, **kwargs)
+        return coded.mapInArrow(note, coded.schema)
+
+    def refused(df, label="table"):
+        raise AssertionError(f"{label} written")
+
+    monkeypatch.setattr(corpus_pipeline, "bpe_encode", watched)
+    monkeypatch.setattr(corpus_pipeline, "written", refused)
+    out = corpus_pipeline.encode(spark, stages[4], SF)
+    assert sorted(map(tuple, out.drop("slot", "at").collect())) == sorted(map(tuple, stages[5].drop("slot", "at").collect()))
+    assert len(list(tmp_path.iterdir())) == 1

@@ -117,7 +117,8 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
     has run out leaves its later slots empty, so what follows is no longer to weight.
 
     Numbering within a source does not gather the source: rows are dealt by source and a range of the hash, about
-    sqrt(n) rows each, numbered there, and raised by the counts of the earlier ranges.
+    sqrt(n) rows each, numbered there, and raised by the counts of the earlier ranges. The counts are joined by the key that the rows
+    are dealt by, so rows are shuffled once.
 
     The schedule is broadcast up to ``BROADCAST_ROWS`` rows and joined by source and block otherwise.
 
@@ -131,7 +132,9 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
     r = F.when(F.col(id).isNull(), F.xxhash64(F.lit(seed), *others)).otherwise(F.xxhash64(F.lit(seed), F.col(id)))
     # the hash as a number from 0 to 1 names the range
     part = F.floor((r.cast("double") / F.lit(2.0**64) + 0.5) * ranges).cast("long")
-    keyed = rows.withColumn("__r", r).withColumn("__range", F.least(F.greatest(part, F.lit(0)), F.lit(ranges - 1)))
+    # a struct is never null and equals one of the same source, null or not: window and join deal by the same columns
+    one_source = F.struct(F.col(source).alias("s"))
+    keyed = rows.withColumn("__r", r).withColumn("__key", one_source).withColumn("__range", F.least(F.greatest(part, F.lit(0)), F.lit(ranges - 1)))
     counts = written(keyed.groupBy(F.col(source).alias("__source"), "__range").agg(F.count(F.lit(1)).alias("__n")), "counts")
     before = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
@@ -142,10 +145,10 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
 
     shares = slots.groupBy("__source").agg(F.max("a").alias("__a"), F.max("p").alias("__p"))
     offsets = offsets.alias("b").join(shares.alias("h"), F.col("b.__source").eqNullSafe(F.col("h.__source"))).select("b.*", "__a", "__p")
-    same = F.col(source).eqNullSafe(F.col("o.__source")) & (F.col("r.__range") == F.col("o.__range"))
+    offsets = offsets.withColumn("__key", F.struct(F.col("__source").alias("s")))
     numbered = (
-        keyed.withColumn("__at", F.row_number().over(Window.partitionBy(source, "__range").orderBy("__r", id)) - 1)
-        .alias("r").join(offsets.alias("o"), same)
+        keyed.withColumn("__at", F.row_number().over(Window.partitionBy("__key", "__range").orderBy("__r", id)) - 1)
+        .alias("r").join(offsets.alias("o"), ["__key", "__range"])
         .select(*[F.col("r." + f"`{c}`") for c in rows.columns], (F.col("__before") + F.col("__at")).alias("__at"), "__a", "__p")
         .withColumn("__block", F.floor(F.col("__at") / block_rows).cast("long"))
         .withColumn("__k", (F.col("__block") % F.col("__a")).cast("int"))
@@ -164,13 +167,14 @@ def mix(rows: DataFrame, source: str = "source", id: str = "doc_id", weights: Da
     return placed.select(*[F.col(f"`{c}`") for c in rows.columns], place.alias("place"))
 
 
-def in_order(mixed: DataFrame, rows_per_file: int = 20_000, keep_place: bool = False) -> DataFrame:
+def in_order(mixed: DataFrame, rows_per_file: int = 20_000, keep_place: bool = False, places: DataFrame | None = None) -> DataFrame:
     """Rows of ``mix``, without place unless ``keep_place``, dealt and sorted so that files in name order are the mixture.
 
     Slots are cut into equal ranges, one for each partition: slots are numbered without gaps until the first source has run out, so
-    partitions are about equal; no range sampling pass is needed.
+    partitions are about equal; no range sampling pass is needed. The last slot and the number of rows are counted beforehand in ``places``, the same
+    rows with their place where they cost less to compute than ``mixed``.
     """
-    size = mixed.agg(F.max("place.slot").alias("last"), F.count(F.lit(1)).alias("n")).first()
+    size = (mixed if places is None else places).agg(F.max("place.slot").alias("last"), F.count(F.lit(1)).alias("n")).first()
     last, n = size["last"] or 0, size["n"] or 0
     parts = max(1, min(math.ceil(n / rows_per_file), 100_000))
     dealt = (
