@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from varstrata.llm.secrets import FEATURES, candidates, coverage, features, findings, label_by_assignment, secret_model, secret_scan, transition_table
+from varstrata.llm.secrets import _with_features, FEATURES, candidates, coverage, features, findings, label_by_assignment, secret_model, secret_scan, transition_table
 
 
 def slow_candidates(text):
@@ -76,3 +76,29 @@ def test_assigned_values(spark):
         assert not list(candidates(text))
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").selectExpr("*", "'x' source")
     assert [r.label for r in label_by_assignment(findings(docs)).collect()] == [1] * len(lines)
+
+
+def test_learns_from_every_document(spark):
+    """One secret in 24,000 documents, and words that stand in two of them each."""
+    docs = spark.range(24_000).selectExpr(
+        "id doc_id",
+        """concat(if(id = 12345, 'token = "', 'build '), substring(sha2(cast(id as string), 256), 1, 30), '"', if(id % 600 < 2, concat(' zebra',
+        translate(cast(id div 600 as string), '0123456789', 'abcdefghij')), ' plain')) text""", "'x' source")
+    model = secret_model(docs, trees=3)
+    found = findings(docs).count()
+    assert 24_000 <= found and model.share == 1 / found
+    assert {"zebra" + "".join("abcdefghij"[int(d)] for d in str(i)) for i in range(40)} <= model.dictionary
+    bins = model.forest.stages[0]
+    scanned = model.forest.transform(_with_features(findings(docs).filter("id = 12345"), model.table, model.dictionary))
+    assert max(map(len, bins.getSplitsArray())) <= 36 and scanned.select("prediction").first()[0] == 1
+
+
+def test_long_findings_are_learned_from(spark):
+    labelled = spark.createDataFrame([("q7" * 5000, "x", "", "", 1), ("q7" * 5000, "x", "", "", 0)], "candidate string, path string, before string, after string, label int")
+    assert secret_model(spark.createDataFrame([], "doc_id long, text string, source string"), labelled, trees=3).share == 0.5
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    docs = spark.createDataFrame(corpus(300, 3), "doc_id long, text string, source string, score string")
+    one, other = secret_model(docs.coalesce(1), trees=5), secret_model(docs.repartition(7), trees=5)
+    assert one.forest.stages[-1].toDebugString.split("\n")[1:] == other.forest.stages[-1].toDebugString.split("\n")[1:]

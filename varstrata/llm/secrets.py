@@ -11,16 +11,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varstrata.plans.runtime import written
 
-TRAINING_ROWS = 20_000  # documents from which findings and word statistics are learned, at most
 DICTIONARY = 5000
-LONGEST = 4096  # characters of a labelled finding; longer ones are judged, but not learned from
+LEARNER_ROWS = 20_000  # labelled findings in one partition of what the forest learns from, on average
+OWN_SPLITS = 10_000  # findings up to which MLlib looks at all of them for its split points; of more it would draw so many
 _KEY = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]++(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 _VALUE = re.compile(r"""[=:](?=[ \t]{0,8}(?:(["'`])([^\n"'`]{6,4096})\1|((?![=:/>])[^\s"'`,;&=]{6,4096}={0,2})))""")
 _NAME = re.compile(r"""[A-Za-z_][\w.-]{0,60}["'`]?[ \t]{0,8}\Z""")
@@ -161,36 +161,55 @@ def _with_features(found: DataFrame, table: np.ndarray, dictionary: frozenset[st
     return found.mapInArrow(run, schema)
 
 
+def _bins(rows: DataFrame) -> Bucketizer:
+    """Bins of all features, bounded by quantiles over all findings of each label, least and largest included: 34 bounds at most."""
+    names = [f"f_{n}" for n in FEATURES]
+    levels = [k / 16 for k in range(17)]
+    by_label = rows.groupBy("label").agg(*(F.percentile_approx(n, levels, 10_000).alias(n) for n in names)).collect()  # two rows
+    bounds = [[-math.inf, *sorted({x for r in by_label for x in r[n]}), math.inf] for n in names]
+    return Bucketizer(splitsArray=bounds, inputCols=names, outputCols=[f"b_{n}" for n in FEATURES])
+
+
 def secret_model(
     docs: DataFrame, labelled: DataFrame | None = None, id: str = "doc_id", text: str = "text", path: str | None = "source",
-    training_rows: int = TRAINING_ROWS, trees: int = 40, depth: int = 8, seed: int = 42,
+    trees: int = 40, depth: int = 8, seed: int = 42,
 ) -> SecretModel:
-    """A forest fitted on labelled findings: (candidate, path, before, after, label).
+    """A forest fitted on all labelled findings: (candidate, path, before, after, label).
+
+    Without them, the findings of all docs are labelled by ``label_by_assignment``. All docs also give the words from which letter
+    transitions and the dictionary (the 5000 commonest words) are taken. With one label only there is no forest: every score is the share of label 1.
 
-    Without them, findings of a bounded sample of docs are labelled by ``label_by_assignment``. The sample, ``training_rows`` documents
-    of least id hash, also gives the words from which letter transitions and the dictionary (the 5000 commonest words) are taken; as many labelled
-    findings at most are used. With one label only there is no forest: every score is the share of label 1.
+    MLlib draws 10,000 rows, or the square of maxBins if that is more, for its split points. So more findings than that are put into bins
+    first, by quantiles over all of them, and maxBins is raised until none is left out; bins in use stay at most 35 a feature. Findings are dealt to partitions
+    by a hash and sorted there, so that what each tree draws does not depend on how tables are cut into files.
     """
-    ids = docs.select(F.col(id).alias("__id")).filter("__id is not null").orderBy(F.xxhash64("__id"), "__id").limit(training_rows)
-    columns = [F.col(id).alias("id"), F.col(text).alias("text"), (F.col(path).cast("string") if path else F.lit("")).alias("path")]
-    sample = docs.select(*columns).join(F.broadcast(ids), F.col("id") == F.col("__id"), "left_semi")
-    words = sample.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")).alias("word")).filter("length(word) > 2")
-    common = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
+    source = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), (F.col(path).cast("string") if path else F.lit("")).alias("path"))
+    words = source.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")).alias("word")).filter("length(word) > 2")
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # written, so that the commonest words of each partition meet in a task, not in the driver
+    common = written(counted.orderBy(F.desc("n"), "word").limit(DICTIONARY), "words").collect()
     dictionary = frozenset(r["word"] for r in common if r["n"] > 1)
     table = transition_table({r["word"]: r["n"] for r in common})
     if labelled is None:
-        labelled = label_by_assignment(findings(sample, "id", "text", "path"))
-    known = labelled.filter(F.col("label").isNotNull() & (F.length("candidate") <= LONGEST)).select("candidate", "path", "before", "after", F.col("label").cast("double").alias("label"))
-    used = known.withColumn("__h", F.xxhash64("candidate", "before", "after")).orderBy("__h", "candidate", "label").limit(training_rows).drop("__h")
-    rows = written(_with_features(used, table, dictionary).coalesce(1), "findings")  # at most training_rows rows of numbers
+        labelled = label_by_assignment(findings(source, "id", "text", "path"))
+    place = [F.col(c) for c in ("id", "start") if c in labelled.columns]  # copies are spread where their places are known
+    known = labelled.filter(F.col("label").isNotNull()).select(
+        "candidate", "path", "before", "after", F.col("label").cast("double").alias("label"),
+        F.xxhash64("candidate", "before", "after").alias("__h"), F.xxhash64("candidate", "path", "before", "after", "label", *place).alias("__deal"),
+    )
+    names = [f"f_{n}" for n in FEATURES]
+    rows = written(_with_features(known, table, dictionary).select("label", "__h", "__deal", *names), "findings")
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return SecretModel(None, max(sizes, default=0.0), table, dictionary)
     total = sum(sizes.values())
     weighted = rows.withColumn("weight", F.when(F.col("label") == 1, total / (2 * sizes[1.0])).otherwise(total / (2 * (total - sizes[1.0]))))
-    forest = RandomForestClassifier(labelCol="label", featuresCol="f_all", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed)
-    assembler = VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="f_all")
-    return SecretModel(Pipeline(stages=[assembler, forest]).fit(weighted), sizes[1.0] / total, table, dictionary)
+    dealt = weighted.repartition(1 + (total - 1) // LEARNER_ROWS, "__deal").sortWithinPartitions("__h", "label", *names)
+    binned = [] if total <= OWN_SPLITS else [_bins(rows)]
+    most = 32 if not binned else min(max(64, math.isqrt(total) + 1), 46_340)  # its square is a 32-bit number
+    assembler = VectorAssembler(inputCols=binned[0].getOutputCols() if binned else names, outputCol="f_all")
+    forest = RandomForestClassifier(labelCol="label", featuresCol="f_all", weightCol="weight", numTrees=trees, maxDepth=depth, maxBins=most, seed=seed)
+    return SecretModel(Pipeline(stages=[*binned, assembler, forest]).fit(dealt), sizes[1.0] / total, table, dictionary)
 
 
 def secret_scan(
